@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrearium import fixed_values as fv
+from arrearium.functions import expressions as X
 from arrearium.operators.clean import text_columns
 from arrearium.operators.stats import first_share_by_hash, one_row
 
@@ -64,7 +65,7 @@ def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "", plac
     for c in columns:
         sd = s[f"sd_{c}"]
         z = (F.col(c) - s[f"mean_{c}"]) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)
-        out[f"{c}{suffix}"] = z if places is None else F.round(z, places)
+        out[f"{c}{suffix}"] = z if places is None else X.round_to(z, places)
     return df.withColumns(out)
 
 
@@ -100,7 +101,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
         F.sum(F.when(F.col(label) == 1, F.col("n")).otherwise(0)).alias("pos")))
     return counts.withColumns({
         "weight": s["total"] / (s["classes"] * F.col("n")),
-        "neg_pos_ratio": F.round(s["neg"] / F.greatest(s["pos"], F.lit(1)), 2)})
+        "neg_pos_ratio": X.round_to(s["neg"] / F.greatest(s["pos"], F.lit(1)), 2)})
 
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

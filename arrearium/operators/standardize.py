@@ -59,7 +59,7 @@ def synthesize_credit_score(df: DataFrame) -> DataFrame:
     if "overdue_days" not in df.columns:
         return df.withColumn("credit_score", F.lit(fv.ABSENT_CREDIT_SCORE))
     dpd = F.coalesce(_number("overdue_days"), F.lit(0.0))
-    return df.withColumn("credit_score", F.round(X.clip(720 - dpd * 1.2, 350.0, 850.0), 0))
+    return df.withColumn("credit_score", X.round_to(X.clip(720 - dpd * 1.2, 350.0, 850.0), 0))
 
 
 def derive_recovery_flag(df: DataFrame, whole_words: bool = False) -> DataFrame:
@@ -99,7 +99,7 @@ def derive_recovered_amount(df: DataFrame, key: str | None = None) -> DataFrame:
     else:
         row = F.col(key) if key else F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
         share = 0.60 + 0.35 * X.hash_fraction(row)
-        out = F.round(F.when(F.col("recovery_status_binary") == 1, F.col("loan_amount") * share).otherwise(0.0), 2)
+        out = X.round_to(F.when(F.col("recovery_status_binary") == 1, F.col("loan_amount") * share).otherwise(0.0), 2)
     return df.withColumn("recovered_amount", out)
 
 

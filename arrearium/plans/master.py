@@ -35,18 +35,18 @@ def clean_repayments(repayments: DataFrame) -> DataFrame:
 
 def derived_columns(book: DataFrame) -> DataFrame:
     """The nine engineered columns; money and scores carry 2 places, ratios 4."""
-    book = book.withColumn("monthly_emi", F.round(
+    book = book.withColumn("monthly_emi", X.round_to(
         X.monthly_emi("loan_amount", "interest_rate", "loan_term_months"), 2))
     book = book.withColumns({
-        "dti_ratio": F.round(X.dti_ratio("monthly_emi", "annual_income"), 4),
+        "dti_ratio": X.round_to(X.dti_ratio("monthly_emi", "annual_income"), 4),
         "is_secured": X.is_secured("collateral_type"),
     })
     return book.withColumns({
-        "ltv_ratio": F.round(X.ltv_ratio("loan_amount", "collateral_value", "is_secured"), 4),
+        "ltv_ratio": X.round_to(X.ltv_ratio("loan_amount", "collateral_value", "is_secured"), 4),
         "credit_risk_tier": X.credit_risk_tier("credit_score"),
-        "delinquency_severity_score": F.round(X.delinquency_severity("overdue_days", "credit_score"), 2),
-        "net_recovery_amount": F.round(X.net_recovery("recovered_amount", "recovery_cost"), 2),
-        "recovery_rate_pct": F.round(X.recovery_rate_pct("recovered_amount", "outstanding_principal"), 2),
+        "delinquency_severity_score": X.round_to(X.delinquency_severity("overdue_days", "credit_score"), 2),
+        "net_recovery_amount": X.round_to(X.net_recovery("recovered_amount", "recovery_cost"), 2),
+        "recovery_rate_pct": X.round_to(X.recovery_rate_pct("recovered_amount", "outstanding_principal"), 2),
         "recovery_target_binary": X.recovery_target("recovery_status"),
     })
 

@@ -89,5 +89,5 @@ def query(key: str, needs: list[str] | None = None, sql: str | None = None, extr
 def rounded(df: DataFrame, places: int = 4, **other: int) -> DataFrame:
     """Round every double column for the comparison, to `places` or the number given by name."""
     return df.select(*[
-        F.round(F.col(f"`{f.name}`"), other.get(f.name, places)).alias(f.name)
+        X.round_to(F.col(f"`{f.name}`"), other.get(f.name, places)).alias(f.name)
         if isinstance(f.dataType, T.DoubleType) else F.col(f"`{f.name}`") for f in df.schema])

@@ -100,16 +100,9 @@ def join_recovery(i):
     return out.select("loan_id", "customer_id", "overdue_days", "recovery_id", "recovery_status", "contact_attempts")
 
 
-@query("build_master", ["master"], """
-SELECT * REPLACE (round(annual_income, 4) AS annual_income, round(loan_amount, 4) AS loan_amount,
-  round(interest_rate, 4) AS interest_rate, round(collateral_value, 4) AS collateral_value,
-  round(total_amount_paid, 4) AS total_amount_paid, round(principal_paid, 4) AS principal_paid,
-  round(interest_paid, 4) AS interest_paid, round(outstanding_principal, 4) AS outstanding_principal,
-  round(settlement_discount_pct, 4) AS settlement_discount_pct, round(recovered_amount, 4) AS recovered_amount,
-  round(recovery_cost, 4) AS recovery_cost)
-FROM master""")
+@query("build_master", ["master"], "SELECT * FROM master")
 def build_master(i):
-    return rounded(i.master)
+    return i.master
 
 
 @query("join_group_stat", ["customers", "tier_income"], """

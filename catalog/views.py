@@ -4,6 +4,8 @@ The oracle statements start from the same text; the later CTEs (book, master, ..
 the oracle only, from the definitions of the operators.
 """
 
+import re
+
 VIEWS = {
     "customers": """
 SELECT c.c_custkey AS customer_id,
@@ -187,7 +189,26 @@ def _ordered(names, seen):
     return seen
 
 
+def half_even(sql: str) -> str:
+    """Spell every round(x, n) of a statement as rounding half to even, which DuckDB lacks."""
+    at = re.search(r"(?<![\w])round\(", sql)
+    if not at:
+        return sql
+    depth, comma, end = 1, None, at.end()
+    while depth:
+        ch = sql[end]
+        depth += (ch == "(") - (ch == ")")
+        if ch == "," and depth == 1:
+            comma = end
+        end += 1
+    scale = f"1{'0' * int(sql[comma + 1:end - 1])}e0"
+    v = f"(({half_even(sql[at.end():comma])})*{scale})"
+    exact = f"(CASE WHEN abs({v} - trunc({v})) = 0.5e0 THEN 2*ROUND({v}/2) ELSE ROUND({v}) END / {scale})"
+    return sql[:at.start()] + exact + half_even(sql[end:])
+
+
 def with_ctes(names, select, extra=None):
     """WITH the named CTEs and all they build on, then extra CTEs, then the statement."""
-    parts = {**_ordered(names, {}), **(extra or {})}
+    parts = {n: half_even(t) for n, t in {**_ordered(names, {}), **(extra or {})}.items()}
+    select = half_even(select)
     return "WITH " + ",\n".join(f"{n} AS ({t})" for n, t in parts.items()) + "\n" + select
