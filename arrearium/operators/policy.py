@@ -95,7 +95,7 @@ def disparate_impact(scored: DataFrame, baselines: Mapping[str, str], positive:
     return out.withColumn("impact_ratio", ratio).withColumn("passes", (F.col("impact_ratio") >= limit).cast("int"))
 
 
-def population_stability(df: DataFrame, column: str, is_base: Column, bins: int = 10, limit: float = 0.10,
+def population_stability(df: DataFrame, column: str, is_base: Column, bins: int = 10,
                          method: str = "exact") -> DataFrame:
     """Per bin shares of the base and the current population and their PSI term; bins are quantiles
     of the base. An empty share counts as 0.0001."""
