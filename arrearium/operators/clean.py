@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrearium import fixed_values as fv
 from arrearium.functions import expressions as X
 from arrearium.operators.standardize import standardize_dataset
-from arrearium.operators.stats import one_row, quantiles, wide_quantiles
+from arrearium.operators.stats import attach, quantiles, shared_dir, wide_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -59,20 +59,24 @@ def impute_group_median(df: DataFrame, column: str, by: Sequence[str], default:
             .select(*[filled.cast("int").alias(c) if c == column else F.col(c) for c in df.columns]))
 
 
-def most_frequent(df: DataFrame, column: str) -> Column:
-    """The most frequent non-NULL value, smallest first on ties, as a scalar."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
-    # max over (n, reversed order of the value) is min over (-n, value)
-    top = counts.agg(F.min(F.struct((-F.col("n")).alias("neg"), F.col(column).alias("value"))).alias("top"))
-    return one_row(top)["top"]["value"]
+def most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: the most frequent non-NULL value of each text column, smallest first on ties."""
+    long = df.select(*columns).unpivot([], list(columns), "column", "value").where(F.col("value").isNotNull())
+    counts = long.groupBy("column", "value").agg(F.count("*").alias("n"))
+    return counts.agg(*[
+        F.min(F.when(F.col("column") == c, F.struct((-F.col("n")).alias("neg"), "value")))["value"].alias(c)
+        for c in columns])
 
 
-def impute_mode(df: DataFrame, columns: Sequence[str], default: str = "Unknown") -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), most_frequent(df, c), F.lit(default)) for c in columns})
+def impute_mode(df: DataFrame, columns: Sequence[str], default: str = "Unknown", now: bool = False) -> DataFrame:
+    if not columns:
+        return df
+    filled = {c: F.coalesce(F.col(c), F.col(f"_m.`{c}`"), F.lit(default)) for c in columns}
+    return attach(df, now, _m=most_frequent(df, columns)).withColumns(filled).drop("_m")
 
 
 def impute_numeric(df: DataFrame, strategy: str = "median", columns: Sequence[str] | None = None,
-                   method: str = "exact") -> DataFrame:
+                   method: str = "exact", now: bool = False) -> DataFrame:
     """Fill NULL in numeric columns by median, mean or zero; all statistics come from one pass.
 
     A column without any value is filled with zero; whole-number columns keep their type only for
@@ -84,14 +88,13 @@ def impute_numeric(df: DataFrame, strategy: str = "median", columns: Sequence[st
     if strategy == "zero":
         return df.withColumns({c: F.coalesce(F.col(c), F.lit(0).cast(df.schema[c].dataType)) for c in columns})
     if strategy == "mean":
-        stats = one_row(df.agg(*[F.avg(c).alias(c) for c in columns]))
-        fill = {c: stats[c] for c in columns}
+        stats = df.agg(*[F.avg(c).alias(f"{c}__fill") for c in columns])
     elif strategy == "median":
-        stats = one_row(wide_quantiles(quantiles(df, columns, [0.5], method=method), columns, ["q50"]))
-        fill = {c: stats[f"{c}__q50"] for c in columns}
+        stats = wide_quantiles(quantiles(df, columns, [0.5], method=method), columns, ["fill"])
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), fill[c], F.lit(0.0)) for c in columns})
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_m.`{c}__fill`"), F.lit(0.0)) for c in columns}
+    return attach(df, now, _m=stats).withColumns(filled).drop("_m")
 
 
 def cap_outliers_by_group(df: DataFrame, column: str, by: Sequence[str], k_lo: float = 1.5,
@@ -111,7 +114,7 @@ def cap_outliers_by_group(df: DataFrame, column: str, by: Sequence[str], k_lo: f
 
 def cap_outliers_global(df: DataFrame, columns: Sequence[str] | None = None, k: float = 2.5,
                         min_distinct: int = 10, skip_zero_iqr: bool = True,
-                        exclude: Sequence[str] = (), method: str = "exact") -> DataFrame:
+                        exclude: Sequence[str] = (), method: str = "exact", now: bool = False) -> DataFrame:
     """Clamp to q25 - k*IQR .. q75 + k*IQR where a column has more than min_distinct values.
 
     A column whose IQR is zero would be flattened to one value; it is left alone unless
@@ -120,19 +123,19 @@ def cap_outliers_global(df: DataFrame, columns: Sequence[str] | None = None, k:
     columns = [c for c in (numeric_columns(df) if columns is None else columns) if c not in set(exclude)]
     if not columns:
         return df
-    q = one_row(wide_quantiles(quantiles(df, columns, [0.25, 0.75], method=method), columns, ["q25", "q75"]))
+    q = wide_quantiles(quantiles(df, columns, [0.25, 0.75], method=method), columns, ["q25", "q75"])
     # For so few values the sketch is exact in practice: it uses linear counting there.
-    many = one_row(df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns]))
+    many = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns])
     out = {}
     for c in columns:
-        q25, q75 = q[f"{c}__q25"], q[f"{c}__q75"]
+        q25, q75 = F.col(f"_q.{c}__q25"), F.col(f"_q.{c}__q75")
         iqr = q75 - q25
-        use = many[c] > min_distinct
+        use = F.col(f"_n.{c}") > min_distinct
         if skip_zero_iqr:
             use = use & (iqr > 0)
         out[c] = F.when(use, X.clip(F.col(c).cast("double"), q25 - k * iqr, q75 + k * iqr)).otherwise(
             F.col(c).cast("double"))
-    return df.withColumns(out)
+    return attach(df, now, _q=q, _n=many).withColumns(out).drop("_q", "_n")
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:
@@ -142,11 +145,18 @@ def drop_duplicates(df: DataFrame) -> DataFrame:
 
 def clean_table(df: DataFrame, drop_dups: bool = True, strategy: str = "median", cap: bool = True,
                 exclude: Sequence[str] = (), method: str = "exact", standardize: bool = True) -> DataFrame:
-    """De-duplicate, fill numbers, cap outliers, fill text, standardise."""
-    out = drop_duplicates(df) if drop_dups else df
+    """De-duplicate, fill numbers, cap outliers, fill text, standardise.
+
+    Each step's statistics rest on the step before. The de-duplicated table is stored once in the
+    shared folder, and each step then makes one narrow pass over it for one row of statistics.
+    """
+    out = df
+    if drop_dups:
+        shared_dir(df.sparkSession)
+        out = drop_duplicates(df).checkpoint()
     numbers = [c for c in numeric_columns(out) if c not in set(exclude)]
-    out = impute_numeric(out, strategy, numbers, method)
+    out = impute_numeric(out, strategy, numbers, method, now=True)
     if cap:
-        out = cap_outliers_global(out, numbers, method=method)
-    out = impute_mode(out, [c for c in text_columns(out) if c not in set(exclude)])
-    return standardize_dataset(out) if standardize else out
+        out = cap_outliers_global(out, numbers, method=method, now=True)
+    out = impute_mode(out, [c for c in text_columns(out) if c not in set(exclude)], now=True)
+    return standardize_dataset(out, now=True) if standardize else out

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arrearium.functions import expressions as X
 from arrearium.operators.reports import sample_rows
-from arrearium.operators.stats import one_row, running_totals
+from arrearium.operators.stats import attach, running_totals
 
 
 def confusion_matrix(scores: DataFrame, threshold: float = 0.5, label: str = "label", p: str = "p") -> DataFrame:
@@ -79,12 +79,12 @@ def pr_auc(scores: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
 def roc_pr_curves(scores: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
     """One point per distinct score: threshold, fpr, tpr (= recall), precision."""
     counts = score_counts(scores, label, p)
-    totals = one_row(counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    r = running_totals(counts, "p", ["pos", "neg"])
+    totals = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    r = attach(running_totals(counts, "p", ["pos", "neg"]), _s=totals)
     return r.select(
         F.col("p").alias("threshold"),
-        F.try_divide(F.col("upto_neg"), totals["neg"]).alias("fpr"),
-        F.try_divide(F.col("upto_pos"), totals["pos"]).alias("tpr"),
+        F.try_divide(F.col("upto_neg"), F.col("_s.neg")).alias("fpr"),
+        F.try_divide(F.col("upto_pos"), F.col("_s.pos")).alias("tpr"),
         (F.col("upto_pos") / (F.col("upto_pos") + F.col("upto_neg"))).alias("precision"))
 
 

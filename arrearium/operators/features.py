@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from arrearium import fixed_values as fv
 from arrearium.functions import expressions as X
 from arrearium.operators.clean import text_columns
-from arrearium.operators.stats import first_share_by_hash, one_row
+from arrearium.operators.stats import attach, first_share_by_hash
 
 
 def encoder_stages(columns: Sequence[str]) -> list:
@@ -59,14 +59,13 @@ def dummies_drop_first(df: DataFrame, columns: Sequence[str] | None = None, max_
 
 def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "", places: int | None = None) -> DataFrame:
     """(x - mean) / population deviation from one shared pass; a constant column becomes zero."""
-    s = one_row(df.agg(*[f(c).alias(f"{n}_{c}") for c in columns
-                         for n, f in (("mean", F.avg), ("sd", F.stddev_pop))]))
+    stats = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("mean", F.avg), ("sd", F.stddev_pop))])
     out = {}
     for c in columns:
-        sd = s[f"sd_{c}"]
-        z = (F.col(c) - s[f"mean_{c}"]) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)
+        sd = F.col(f"_s.sd_{c}")
+        z = (F.col(c) - F.col(f"_s.mean_{c}")) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)
         out[f"{c}{suffix}"] = z if places is None else X.round_to(z, places)
-    return df.withColumns(out)
+    return attach(df, _s=stats).withColumns(out).drop("_s")
 
 
 def scaled_copies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -95,17 +94,19 @@ def random_split(df: DataFrame, key: str, test_pct: int = 20) -> DataFrame:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """label, n, weight = total / (classes * n), and neg_pos_ratio = negatives / positives."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-    s = one_row(counts.agg(
+    s = F.col("_s")
+    stats = counts.agg(
         F.sum("n").alias("total"), F.count("*").alias("classes"),
         F.sum(F.when(F.col(label) == 0, F.col("n")).otherwise(0)).alias("neg"),
-        F.sum(F.when(F.col(label) == 1, F.col("n")).otherwise(0)).alias("pos")))
-    return counts.withColumns({
+        F.sum(F.when(F.col(label) == 1, F.col("n")).otherwise(0)).alias("pos"))
+    return attach(counts, _s=stats).withColumns({
         "weight": s["total"] / (s["classes"] * F.col("n")),
-        "neg_pos_ratio": X.round_to(s["neg"] / F.greatest(s["pos"], F.lit(1)), 2)})
+        "neg_pos_ratio": X.round_to(s["neg"] / F.greatest(s["pos"], F.lit(1)), 2)}).drop("_s")
 
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Balanced weight on every row of a 0/1 label: total / (2 * rows of the row's class)."""
-    s = one_row(df.agg(F.count(label).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")))
+    stats = df.agg(F.count(label).alias("n"), F.sum(F.col(label).cast("long")).alias("pos"))
+    s = F.col("_s")
     mine = F.when(F.col(label) == 1, s["pos"]).otherwise(s["n"] - s["pos"])
-    return df.withColumn(out, s["n"] / (2.0 * mine))
+    return attach(df, _s=stats).withColumn(out, s["n"] / (2.0 * mine)).drop("_s")

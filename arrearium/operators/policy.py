@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from arrearium import fixed_values as fv
 from arrearium.functions import expressions as X
 from arrearium.operators.segments import playbook
-from arrearium.operators.stats import one_row, quantiles
+from arrearium.operators.stats import attach, quantiles
 from arrearium.operators.windows import previous_value, rolling_count, rolling_max
 
 
@@ -100,17 +100,17 @@ def population_stability(df: DataFrame, column: str, is_base: Column, bins: int
     """Per bin shares of the base and the current population and their PSI term; bins are quantiles
     of the base. An empty share counts as 0.0001."""
     edges = [i / bins for i in range(1, bins)]
-    cut = one_row(quantiles(df.where(is_base), [column], edges, method=method).select("q"))["q"]
-    rows = df.where(F.col(column).isNotNull()).select(
-        F.col(column).cast("double").alias("v"), is_base.cast("int").alias("base"), cut.alias("cut"))
+    cut = quantiles(df.where(is_base), [column], edges, method=method).select("q")
+    rows = attach(df.where(F.col(column).isNotNull()).select(
+        F.col(column).cast("double").alias("v"), is_base.cast("int").alias("base")), _s=cut).withColumn("cut", F.col("_s.q"))
     place = F.lit(0)
     for k in range(len(edges)):
         place = place + (F.col("v") > F.col("cut")[k]).cast("int")
     cells = rows.groupBy(place.alias("bin")).agg(
         F.sum("base").alias("b"), F.sum(1 - F.col("base")).alias("c"))
-    total = one_row(cells.agg(F.sum("b").alias("b"), F.sum("c").alias("c")))
-    share = {n: F.greatest(F.try_divide(F.col(n), total[n]), F.lit(0.0001)) for n in ("b", "c")}
-    out = cells.select("bin", share["b"].alias("base_share"), share["c"].alias("current_share"))
+    total = cells.agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+    share = {n: F.greatest(F.try_divide(F.col(n), F.col(f"_s.{n}")), F.lit(0.0001)) for n in ("b", "c")}
+    out = attach(cells, _s=total).select("bin", share["b"].alias("base_share"), share["c"].alias("current_share"))
     return out.withColumn("psi_term", (F.col("current_share") - F.col("base_share"))
                           * F.ln(F.col("current_share") / F.col("base_share")))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrearium import fixed_values as fv
-from arrearium.operators.stats import one_row
+from arrearium.operators.stats import attach, one_row
 
 
 def _known(df: DataFrame, *keys: str) -> DataFrame:
@@ -134,8 +134,7 @@ def cleaning_summary(raw: DataFrame, clean: DataFrame) -> DataFrame:
             total = total + n
         return df.agg(F.count("*").alias(f"{tag}_rows"), total.alias(f"{tag}_missing"))
 
-    after = one_row(totals(clean, "clean"))
-    return totals(raw, "raw").withColumns({c: after[c] for c in ("clean_rows", "clean_missing")})
+    return attach(totals(raw, "raw"), _s=totals(clean, "clean")).select("raw_rows", "raw_missing", "_s.*")
 
 
 def cluster_profile(df: DataFrame, cluster: str = "cluster_id",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from arrearium import fixed_values as fv
 from arrearium.functions import expressions as X
-from arrearium.operators.stats import one_row, quantiles
+from arrearium.operators.stats import attach, quantiles
 
 
 def standardize_columns(df: DataFrame, aliases: Mapping[str, Sequence[str]] = fv.COLUMN_ALIASES) -> DataFrame:
@@ -45,11 +45,13 @@ def default_missing_columns(df: DataFrame, defaults: Mapping[str, object] = fv.A
     return df.withColumns({c: F.lit(v) for c, v in defaults.items() if c not in df.columns})
 
 
-def annualize_income(df: DataFrame, column: str = "annual_income", method: str = "exact") -> DataFrame:
+def annualize_income(df: DataFrame, column: str = "annual_income", method: str = "exact",
+                     now: bool = False) -> DataFrame:
     """Multiply by 12 if the median says that incomes are monthly (between 500 and 12000)."""
-    median = one_row(quantiles(df, [column], [0.5], method=method).select(F.col("q")[0].alias("m")))["m"]
-    monthly = (median > 500) & (median < 12000)
-    return df.withColumn(column, F.when(monthly, F.col(column) * 12.0).otherwise(F.col(column)))
+    median = quantiles(df, [column], [0.5], method=method).agg(F.max(F.col("q")[0]).alias("median"))
+    monthly = (F.col("_m.median") > 500) & (F.col("_m.median") < 12000)
+    scaled = F.when(monthly, F.col(column) * 12.0).otherwise(F.col(column))
+    return attach(df, now, _m=median).withColumn(column, scaled).drop("_m")
 
 
 def synthesize_credit_score(df: DataFrame) -> DataFrame:
@@ -114,14 +116,15 @@ def derive_default_flag(df: DataFrame) -> DataFrame:
 
 
 def standardize_dataset(df: DataFrame, key: str | None = None, whole_words: bool = False,
-                        method: str = "exact") -> DataFrame:
+                        method: str = "exact", now: bool = False) -> DataFrame:
     """All of the above in order. An empty table stays empty."""
     out = standardize_columns(df)
     had_income = "annual_income" in out.columns
     out = synthesize_credit_score(out)
     if had_income:
         # scaled before missing incomes are filled, so the default is not scaled
-        out = annualize_income(out.withColumn("annual_income", _number("annual_income")), method=method)
+        out = annualize_income(out.withColumn("annual_income", _number("annual_income")), method=method,
+                               now=now)
     out = default_missing_columns(coerce_numeric(out))
     out = derive_default_flag(derive_recovered_amount(derive_recovery_flag(out, whole_words), key))
     if "outstanding_principal" not in out.columns:

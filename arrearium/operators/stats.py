@@ -39,6 +39,22 @@ def one_row(stats: DataFrame) -> Column:
     return stats.select(F.struct(*[F.col(f"`{c}`") for c in stats.columns])).scalar()
 
 
+def attach(df: DataFrame, now: bool = False, **stats: DataFrame) -> DataFrame:
+    """Add each one-row aggregate as one struct column of that name, to be dropped after use.
+
+    Used through the column, however often, a subquery stays one subquery. With now=True the row is
+    fetched (one row, whatever the table's size) and becomes a literal: for chains of steps whose
+    statistics build on each other, so that plans do not nest.
+    """
+    def value(s: DataFrame) -> Column:
+        if not now:
+            return one_row(s)
+        row = s.first()
+        return F.struct(*[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in s.schema])
+
+    return df.withColumns({name: value(s) for name, s in stats.items()})
+
+
 def quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -146,7 +162,8 @@ def running_totals(
     below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
         F.element_at("cuts", at + step) < F.col(order), at + step).otherwise(at))
     bucket = F.lit(buckets - 1) - below if descending else below
-    placed = counts.withColumn("cuts", one_row(cuts)["cuts"]).withColumn("bucket", bucket).drop("cuts")
+    placed = (attach(counts, _s=cuts).withColumn("cuts", F.col("_s.cuts"))
+              .withColumn("bucket", bucket).drop("_s", "cuts"))
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = placed.groupBy("bucket").agg(*[F.sum(s).alias(f"t_{s}") for s in sums])
     offsets = offsets.select("bucket", *[
@@ -180,8 +197,7 @@ def first_share_by_hash(df: DataFrame, key: str, share: float, by: Sequence[str]
     if by:
         marked = hashed.join(bounded_side(cut), by, "left")
     else:
-        stat = one_row(cut.select("_cut", "_left"))
-        marked = hashed.withColumns({"_cut": stat["_cut"], "_left": stat["_left"]})
+        marked = attach(hashed, _s=cut.select("_cut", "_left")).select(hashed["*"], "_s.*")
     at_cut = F.col("_prefix") == F.col("_cut")
     # Rows away from the cut get a partition of their own prefix: every window group stays small.
     rank = F.row_number().over(W.partitionBy(*by, "_prefix").orderBy("_h", key))
