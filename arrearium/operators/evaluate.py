@@ -76,6 +76,24 @@ def pr_auc(scores: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
     return r.agg(F.when(total > 0, F.sum(precision * F.col("pos")) / total).alias("pr_auc"))
 
 
+def score_report(scores: DataFrame, threshold: float = 0.5, label: str = "label", p: str = "p") -> DataFrame:
+    """One row with every classification measure, from one table of counts per distinct score."""
+    r = _ranked(scores, label, p)
+    hit = F.col("p") >= threshold
+    tp = F.sum(F.when(hit, F.col("pos")).otherwise(0))
+    fp = F.sum(F.when(hit, F.col("neg")).otherwise(0))
+    pos, neg = F.sum("pos"), F.sum("neg")
+    precision, recall = _ratio(tp, tp + fp), _ratio(tp, pos)
+    above = F.col("upto_pos") - F.col("pos")
+    won = F.sum(F.col("neg").cast("double") * (above.cast("double") + F.col("pos") / 2.0))
+    gained = F.sum(F.col("upto_pos") / (F.col("upto_pos") + F.col("upto_neg")) * F.col("pos"))
+    return r.agg(
+        (pos + neg).alias("n"), _ratio(tp + neg - fp, pos + neg).alias("accuracy"), precision.alias("precision"),
+        recall.alias("recall"), _f1(precision, recall).alias("f1"),
+        F.try_divide(won, pos.cast("double") * neg.cast("double")).alias("roc_auc"),
+        F.try_divide(gained, pos).alias("pr_auc"))
+
+
 def roc_pr_curves(scores: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
     """One point per distinct score: threshold, fpr, tpr (= recall), precision."""
     counts = score_counts(scores, label, p)

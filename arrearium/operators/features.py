@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def encoder_stages(columns: Sequence[str]) -> list:
         StringIndexer(inputCols=list(columns), outputCols=[f"{c}_idx" for c in columns],
                       handleInvalid="keep", stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=[f"{c}_idx" for c in columns], outputCols=[f"{c}_hot" for c in columns],
-                      dropLast=True, handleInvalid="keep"),
+                      dropLast=True, handleInvalid="error"),
     ]
 
 
@@ -73,11 +74,27 @@ def scaled_copies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def feature_matrix(numeric: Sequence[str] = tuple(fv.MODEL_NUMERIC),
-                   categorical: Sequence[str] = tuple(fv.MODEL_CATEGORICAL)) -> Pipeline:
-    """Numeric columns and encoded categories in one vector named features."""
+                   categorical: Sequence[str] = tuple(fv.MODEL_CATEGORICAL), scale: bool = False) -> Pipeline:
+    """Numeric columns and encoded categories in one vector named features.
+
+    scale standardises the numeric part, as linear models want; trees do not care.
+    """
+    stages = encoder_stages(categorical) if categorical else []
+    numbers = VectorAssembler(inputCols=list(numeric), outputCol="numbers", handleInvalid="error")
+    stages.append(numbers)
+    if scale:
+        stages.append(StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True))
     hot = [f"{c}_hot" for c in categorical]
-    assemble = VectorAssembler(inputCols=[*numeric, *hot], outputCol="features", handleInvalid="error")
-    return Pipeline(stages=[*(encoder_stages(categorical) if categorical else []), assemble])
+    stages.append(VectorAssembler(inputCols=["scaled" if scale else "numbers", *hot], outputCol="features"))
+    return Pipeline(stages=stages)
+
+
+def feature_names(model: PipelineModel, numeric: Sequence[str] = tuple(fv.MODEL_NUMERIC),
+                  categorical: Sequence[str] = tuple(fv.MODEL_CATEGORICAL)) -> list[str]:
+    """Names of the vector's entries: numeric columns, then <column>=<value>."""
+    indexer = next((s for s in model.stages if isinstance(s, StringIndexerModel)), None)
+    labels = indexer.labelsArray if indexer else []
+    return [*numeric, *[f"{c}={v}" for c, vs in zip(categorical, labels) for v in vs]]
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.2, seed: str = "") -> DataFrame:

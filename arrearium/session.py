@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -29,3 +32,12 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder, never used before."""
     return f"{shared_dir(spark)}/arrearium/{name}-{uuid.uuid4().hex}"
+
+
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable], parallelism: int = 4) -> list:
+    """Submit independent Spark jobs from a few threads; results in the order of jobs."""
+    pool = ThreadPool(max(1, min(parallelism, len(jobs))))
+    try:
+        return pool.map(lambda job: inheritable_thread_target(spark)(job)(), jobs, chunksize=1)
+    finally:
+        pool.close()
