@@ -89,12 +89,12 @@ def feature_matrix(numeric: Sequence[str] = tuple(fv.MODEL_NUMERIC),
     return Pipeline(stages=stages)
 
 
-def feature_names(model: PipelineModel, numeric: Sequence[str] = tuple(fv.MODEL_NUMERIC),
-                  categorical: Sequence[str] = tuple(fv.MODEL_CATEGORICAL)) -> list[str]:
-    """Names of the vector's entries: numeric columns, then <column>=<value>."""
+def feature_names(model: PipelineModel) -> list[str]:
+    """Names of the vector's entries as fitted: numeric columns, then <column>=<value>."""
+    numeric = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
     indexer = next((s for s in model.stages if isinstance(s, StringIndexerModel)), None)
-    labels = indexer.labelsArray if indexer else []
-    return [*numeric, *[f"{c}={v}" for c, vs in zip(categorical, labels) for v in vs]]
+    pairs = zip(indexer.getInputCols(), indexer.labelsArray) if indexer else []
+    return [*numeric, *[f"{c}={v}" for c, vs in pairs for v in vs]]
 
 
 def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.2, seed: str = "") -> DataFrame:

@@ -33,20 +33,27 @@ def scan_master(i):
     return rounded(out, 2)
 
 
-@query("scan_untyped_csv")
+@query("scan_untyped_csv", ["loans"], "SELECT * FROM loans")
 def scan_untyped_csv(i):
+    """Types are inferred; ids come back as int and are widened for the comparison."""
     path = scratch_path(i.spark, "untyped")
     i.loans.write.option("header", True).csv(path)
-    return readers.read_untyped_csv(i.spark, path)
+    back = readers.read_untyped_csv(i.spark, path)
+    return back.withColumns({c: F.col(c).cast("long") for c in ("loan_id", "customer_id")})
 
 
-@query("scan_with_fallback")
+@query("scan_with_fallback", sql="SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
 def scan_with_fallback(i):
     """The first path does not exist, so the given orders table is read."""
-    return readers.read_first_existing(i.spark, [f"{i.sf_dir}/no_such_master.parquet", f"{i.sf_dir}/orders.parquet"])
+    found = readers.read_first_existing(i.spark, [f"{i.sf_dir}/no_such_master.parquet", f"{i.sf_dir}/orders.parquet"])
+    return found.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
-@query("write_clean_tables")
+@query("write_clean_tables", ["customers", "loans", "repayments", "recovery_activities"], """
+SELECT 'customers' AS table_name, COUNT(*) AS n_rows, 12 AS n_columns FROM customers
+UNION ALL SELECT 'loans', COUNT(*), 13 FROM loans
+UNION ALL SELECT 'repayments', COUNT(*), 13 FROM repayments
+UNION ALL SELECT 'recovery_activities', COUNT(*), 14 FROM recovery_activities""")
 def write_clean_tables(i):
     path = scratch_path(i.spark, "clean")
     tables = {"customers": M.clean_customers(i.customers), "loans": M.clean_loans(i.loans),
@@ -55,7 +62,9 @@ def write_clean_tables(i):
     return readers.table_shapes({n: i.spark.read.parquet(f"{path}/{n}") for n in tables})
 
 
-@query("write_master")
+@query("write_master", ["book"], """
+SELECT 'master' AS table_name, COUNT(*) AS n_rows, 57 AS n_columns FROM book
+UNION ALL SELECT 'delinquent', COUNT(*), 57 FROM book WHERE overdue_days > 30""")
 def write_master(i):
     path = scratch_path(i.spark, "master")
     writers.write_master(i.master, path)
