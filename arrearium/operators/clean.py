@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from arrearium import fixed_values as fv
 from arrearium.functions import expressions as X
 from arrearium.operators.standardize import standardize_dataset
-from arrearium.operators.stats import attach, quantiles, shared_dir, wide_quantiles
+from arrearium.operators.stats import attach, quantiles, wide_quantiles
+from arrearium.session import stored
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -150,10 +151,7 @@ def clean_table(df: DataFrame, drop_dups: bool = True, strategy: str = "median",
     Each step's statistics rest on the step before. The de-duplicated table is stored once in the
     shared folder, and each step then makes one narrow pass over it for one row of statistics.
     """
-    out = df
-    if drop_dups:
-        shared_dir(df.sparkSession)
-        out = drop_duplicates(df).checkpoint()
+    out = stored(drop_duplicates(df), "distinct") if drop_dups else df
     numbers = [c for c in numeric_columns(out) if c not in set(exclude)]
     out = impute_numeric(out, strategy, numbers, method, now=True)
     if cap:

@@ -179,27 +179,28 @@ def first_share_by_hash(df: DataFrame, key: str, share: float, by: Sequence[str]
                         out: str = "is_test", seed: str = "") -> DataFrame:
     """Mark the floor(share * n) rows of each group that come first in md5(key) order, exactly.
 
-    Counting by a four-digit hash prefix finds the prefix where the share is reached. Only rows of
-    that one prefix (1/65536 of a group) are ranked; all others are decided by comparison.
+    Counts per four-digit hash prefix tell in which prefix the share is reached; ranking the rows of
+    that one prefix (1/65536 of a group) gives the last row to mark. All rows are then decided by
+    comparison with it, so the table itself is neither shuffled nor sorted.
     """
     by = list(by)
-    hashed = df.withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))))
-    hashed = hashed.withColumn("_prefix", F.substring("_h", 1, 4))
-    per_prefix = hashed.groupBy(*by, "_prefix").agg(F.count("*").alias("cnt"))
-    group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+    hashed = df.withColumns({"_h": F.md5(F.concat(F.col(key).cast("string"), F.lit(seed)))})
+    per_prefix = hashed.groupBy(*by, F.substring("_h", 1, 4).alias("_prefix")).agg(F.count("*").alias("cnt"))
+    group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))  # at most 65536 rows per group
     upto = F.sum("cnt").over(group.orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow))
-    total = F.sum("cnt").over(group)
-    cut = (per_prefix.select(*by, "_prefix", "cnt", upto.alias("upto"), total.alias("total"))
-           .withColumn("want", F.floor(F.lit(float(share)) * F.col("total") + F.lit(1e-9)))
+    want = F.floor(F.lit(float(share)) * F.sum("cnt").over(group) + F.lit(1e-9))
+    cut = (per_prefix.withColumns({"upto": upto, "want": want})
            .where((F.col("upto") >= F.col("want")) & (F.col("upto") - F.col("cnt") < F.col("want")))
            .select(*by, F.col("_prefix").alias("_cut"),
                    (F.col("want") - (F.col("upto") - F.col("cnt"))).alias("_left")))
-    if by:
-        marked = hashed.join(bounded_side(cut), by, "left")
-    else:
-        marked = attach(hashed, _s=cut.select("_cut", "_left")).select(hashed["*"], "_s.*")
-    at_cut = F.col("_prefix") == F.col("_cut")
-    # Rows away from the cut get a partition of their own prefix: every window group stays small.
-    rank = F.row_number().over(W.partitionBy(*by, "_prefix").orderBy("_h", key))
-    first = F.when(F.col("_prefix") < F.col("_cut"), 1).when(at_cut & (rank <= F.col("_left")), 1)
-    return marked.withColumn(out, F.coalesce(first, F.lit(0))).drop("_h", "_prefix", "_cut", "_left")
+
+    def give(rows: DataFrame, side: DataFrame, how: str) -> DataFrame:
+        return rows.join(bounded_side(side), by, how) if by else attach(rows, _s=side).select(*rows.columns, "_s.*")
+
+    near = give(hashed.select(*by, "_h", key), cut, "inner").where(F.substring("_h", 1, 4) == F.col("_cut"))
+    rank = F.row_number().over(group.orderBy("_h", key))
+    last = near.withColumn("_rank", rank).where(F.col("_rank") == F.col("_left")).select(
+        *by, F.struct("_h", F.col(key).alias("_k")).alias("_last"))
+    marked = give(hashed, last, "left")
+    first = F.struct("_h", F.col(key).alias("_k")) <= F.col("_last")
+    return marked.select(*df.columns, F.coalesce(first, F.lit(False)).cast("int").alias(out))

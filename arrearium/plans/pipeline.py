@@ -14,7 +14,7 @@ from arrearium.operators import clean, features
 from arrearium.operators.evaluate import optimal_threshold, score_report, threshold_sweep
 from arrearium.operators.models import predict, train_classifier
 from arrearium.operators.standardize import standardize_dataset
-from arrearium.session import shared_dir
+from arrearium.session import stored
 from arrearium.sources import writers
 
 
@@ -46,8 +46,7 @@ def run_pipeline(df: DataFrame, key: str, folder: str | None = None, test_pct: i
     The prepared table feeds the statistics, the training and the scoring, so it is stored once in
     the shared folder instead of being derived three times.
     """
-    shared_dir(df.sparkSession)
-    table = clean.drop_duplicates(standardize_dataset(df, key, now=True)).checkpoint()
+    table = stored(clean.drop_duplicates(standardize_dataset(df, key, now=True)), "prepared")
     skip = {*fv.NON_FEATURE_COLUMNS, *fv.TARGET_COLUMNS, "recovery_target_binary", key}
     columns = [c for c in clean.numeric_columns(table) if c not in skip]
     filled = clean.impute_numeric(table, "median", columns, now=True)

@@ -8,7 +8,7 @@ from collections.abc import Callable, Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +34,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/arrearium/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that several passes will read to the shared folder, and read it from there.
+
+    Unlike a cache it survives lost executors, and each pass reads only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def side_by_side(spark: SparkSession, jobs: Sequence[Callable], parallelism: int = 4) -> list:
     """Submit independent Spark jobs from a few threads; results in the order of jobs."""
     pool = ThreadPool(max(1, min(parallelism, len(jobs))))

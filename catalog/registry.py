@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +26,21 @@ class Inputs:
         self.spark, self.sf_dir = spark, sf_dir
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
+    @cached_property
+    def _tables(self) -> dict[str, DataFrame]:
+        return {}
+
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def view(self, name: str) -> DataFrame:
+        text = with_ctes([name], f"SELECT * FROM {name}")
         for t in BASE_TABLES:
-            self.base(t).createOrReplaceTempView(t)
-        return self.spark.sql(with_ctes([name], f"SELECT * FROM {name}"))
+            if re.search(rf"\b{t}\b", text):
+                self.base(t).createOrReplaceTempView(t)
+        return self.spark.sql(text)
 
     customers = cached_property(lambda self: self.view("customers"))
     loans = cached_property(lambda self: self.view("loans"))
