@@ -8,13 +8,18 @@ score maxima (score drop), or one value (broken promises).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+# Tasks get these helpers with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DAY = 86_400_000_000
 
 STATE = "w_ts array<bigint>, w_id array<bigint>, w_v array<bigint>, c_ts array<bigint>, c_v array<bigint>"

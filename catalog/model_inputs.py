@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from arrearium.functions import expressions as X
+from arrearium import fixed_values as fv
 from arrearium.operators import clean, features
 from catalog.registry import query, rounded
 
@@ -116,10 +117,17 @@ def scaled_copies(i):
     return features.scaled_copies(i.loans.select("loan_id", "loan_amount", "interest_rate"), ["loan_amount", "interest_rate"])
 
 
-@query("feature_matrix")
+@query("feature_matrix", ["delinquent"], "\nUNION ALL\n".join(
+    [f"SELECT loan_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM delinquent" for c in fv.MODEL_NUMERIC]
+    + [f"SELECT loan_id, '{c}=' || {c}, 1e0 FROM delinquent" for c in fv.MODEL_CATEGORICAL]))
 def feature_matrix(i):
-    """One vector per delinquent account."""
-    return features.feature_matrix().fit(i.delinquent).transform(i.delinquent).select("loan_id", "features")
+    """The vector of every delinquent account, listed by entry name; zero indicators are left out."""
+    rows = i.delinquent.select("loan_id", *fv.MODEL_NUMERIC, *fv.MODEL_CATEGORICAL)
+    model = features.feature_matrix().fit(rows)
+    names = F.array(*[F.lit(n) for n in features.feature_names(model)])
+    cells = F.arrays_zip(names.alias("feature"), vector_to_array("features").alias("value"))
+    long = model.transform(rows).select("loan_id", F.explode(cells).alias("c")).select("loan_id", "c.*")
+    return long.where((F.col("value") != 0) | ~F.contains("feature", F.lit("=")))
 
 
 @query("stratified_split", ["scores"], """

@@ -18,7 +18,7 @@ _FITTED: dict = {}
 
 
 def _split(i):
-    table = features.stratified_split(models.modelling_table(i.master), "loan_id", "label", 0.2)
+    table = features.stratified_split(models.modelling_table(i.stored_master), "loan_id", "label", 0.2)
     key = (i.spark.sparkContext.applicationId, i.sf_dir, "split")
     if key not in _FITTED:
         path = scratch_path(i.spark, "split")
@@ -78,7 +78,7 @@ def linear_fit_single_feature(i):
 @query("grid_search_cv")
 def grid_search_cv(i):
     columns = fv.MODEL_NUMERIC
-    rows = models.modelling_table(i.master).select(*columns, "label")
+    rows = models.modelling_table(i.stored_master).select(*columns, "label")
     return models.grid_search_cv(rows, columns, "label")
 
 
@@ -88,7 +88,7 @@ def feature_importance(i):
 
 
 def _vectors(i):
-    return segments.scaled_features(i.master.select("loan_id", *fv.SEGMENT_FEATURES, "default_flag", "recovered_amount"))
+    return segments.scaled_features(i.stored_master.select("loan_id", *fv.SEGMENT_FEATURES, "default_flag", "recovered_amount"))
 
 
 @query("kmeans_scan")

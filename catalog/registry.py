@@ -12,9 +12,13 @@ from pyspark.sql import types as T
 from arrearium.functions import expressions as X
 from arrearium.operators.joins import loan_book
 from arrearium.plans.master import build_master, clean_loans, filter_delinquent
+from arrearium.session import scratch_path
+from arrearium.sources.readers import read_master
+from arrearium.sources.writers import write_master
 from catalog.views import VIEWS, with_ctes
 
 BASE_TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
+_STORED: dict = {}
 QUERIES: dict = {}
 ORACLES: dict = {}
 
@@ -63,9 +67,19 @@ class Inputs:
     def master(self) -> DataFrame:
         return build_master(self.customers, self.loans, self.repayments, self.recovery)
 
+    @cached_property
+    def stored_master(self) -> DataFrame:
+        """The master as later stages find it: written once per session and scale, then read."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir)
+        if key not in _STORED:
+            folder = scratch_path(self.spark, "master")
+            write_master(self.master, folder)
+            _STORED[key] = f"{folder}/master"
+        return read_master(self.spark, _STORED[key])
+
     @cached_property
     def delinquent(self) -> DataFrame:
-        return filter_delinquent(self.master)
+        return filter_delinquent(self.stored_master)
 
     @cached_property
     def scores(self) -> DataFrame:

@@ -149,7 +149,7 @@ _PAIRS = [(fv.CORRELATION_COLUMNS[a], fv.CORRELATION_COLUMNS[b])
     f"SELECT '{a}' AS x, '{b}' AS y, round(r{k}, 6) AS r FROM c" for k, (a, b) in enumerate(_PAIRS)),
     extra={"c": "SELECT " + ", ".join(f"corr({a}, {b}) AS r{k}" for k, (a, b) in enumerate(_PAIRS)) + " FROM master"})
 def correlation_matrix(i):
-    return rounded(profile.correlation_matrix(i.master), 6)
+    return rounded(profile.correlation_matrix(i.stored_master), 6)
 
 
 def _histogram_sql(bins, by):
@@ -256,7 +256,7 @@ SELECT cluster_id, CASE WHEN avg_credit_score >= 690 AND avg_default_flag < 0.05
 
 
 def clustered(i):
-    scaled = i.master.withColumns({"z0": F.col("credit_score") / 100.0, "z1": F.col("overdue_days") / 90.0})
+    scaled = i.stored_master.withColumns({"z0": F.col("credit_score") / 100.0, "z1": F.col("overdue_days") / 90.0})
     centroids = {k: [a / 100.0, b / 90.0] for k, a, b in CENTROIDS}
     return segments.assign_nearest_centroid(scaled, ["z0", "z1"], centroids).drop("z0", "z1")
 
