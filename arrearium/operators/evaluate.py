@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from arrearium.functions import expressions as X
 from arrearium.operators.reports import sample_rows
-from arrearium.operators.stats import attach, running_totals
+from arrearium.operators.stats import running_totals
 
 
 def confusion_matrix(scores: DataFrame, threshold: float = 0.5, label: str = "label", p: str = "p") -> DataFrame:
@@ -51,8 +51,10 @@ def classification_metrics(scores: DataFrame, threshold: float = 0.5, label: str
 def score_counts(scores: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
     """Positives and negatives per distinct score: counted map-side, so a common score is no hot key."""
     known = scores.where(F.col(p).isNotNull() & F.col(label).isNotNull())
+    # count(when(..)) rather than count_if, whose plan gets a new column name each time it is built
+    # into a query: with equal names the several uses of these counts share one exchange.
     return known.groupBy(F.col(p).alias("p")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+        F.count(F.when(F.col(label) == 1, 1)).alias("pos"), F.count(F.when(F.col(label) == 0, 1)).alias("neg"))
 
 
 def _ranked(scores: DataFrame, label: str, p: str) -> DataFrame:
@@ -96,13 +98,11 @@ def score_report(scores: DataFrame, threshold: float = 0.5, label: str = "label"
 
 def roc_pr_curves(scores: DataFrame, label: str = "label", p: str = "p") -> DataFrame:
     """One point per distinct score: threshold, fpr, tpr (= recall), precision."""
-    counts = score_counts(scores, label, p)
-    totals = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    r = attach(running_totals(counts, "p", ["pos", "neg"]), _s=totals)
+    r = _ranked(scores, label, p)
     return r.select(
         F.col("p").alias("threshold"),
-        F.try_divide(F.col("upto_neg"), F.col("_s.neg")).alias("fpr"),
-        F.try_divide(F.col("upto_pos"), F.col("_s.pos")).alias("tpr"),
+        F.try_divide(F.col("upto_neg"), F.col("total_neg")).alias("fpr"),
+        F.try_divide(F.col("upto_pos"), F.col("total_pos")).alias("tpr"),
         (F.col("upto_pos") / (F.col("upto_pos") + F.col("upto_neg"))).alias("precision"))
 
 

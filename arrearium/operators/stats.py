@@ -149,29 +149,35 @@ def wide_quantiles(q: DataFrame, columns: Sequence[str], names: Sequence[str]) -
 def running_totals(
     counts: DataFrame, order: str, sums: Sequence[str], descending: bool = True, buckets: int = 256
 ) -> DataFrame:
-    """Add upto_<s>: the exact sum of s over all rows from the first in order to this one.
+    """Add upto_<s>, the exact sum of s over all rows from the first in order to this one, and
+    total_<s>, its sum over all rows.
 
     counts must hold one row per distinct value of order. Rows are split into buckets at sketched
     quantiles of those distinct values; bucket totals (at most `buckets` rows) give each bucket its
     offset, and only within a bucket are rows ordered.
     """
+    # Totals ride along in the pass for the cuts, so all uses of counts read the same columns and
+    # share its exchange.
     cuts = counts.agg(F.percentile_approx(
-        order, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 4 * buckets).alias("cuts"))
+        order, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 4 * buckets).alias("cuts"),
+        *[F.sum(s).alias(f"total_{s}") for s in sums])
     # Number of cuts below the value, by halving steps: `buckets` must be a power of two.
     steps = F.array(*[F.lit(1 << k) for k in reversed(range(buckets.bit_length() - 1))])
     below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
         F.element_at("cuts", at + step) < F.col(order), at + step).otherwise(at))
     bucket = F.lit(buckets - 1) - below if descending else below
-    placed = (attach(counts, _s=cuts).withColumn("cuts", F.col("_s.cuts"))
-              .withColumn("bucket", bucket).drop("_s", "cuts"))
+    placed = (attach(counts, _s=cuts).select(*counts.columns, "_s.*")
+              .withColumn("bucket", bucket).drop("cuts"))
     before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     offsets = placed.groupBy("bucket").agg(*[F.sum(s).alias(f"t_{s}") for s in sums])
     offsets = offsets.select("bucket", *[
         F.coalesce(F.sum(f"t_{s}").over(before), F.lit(0)).alias(f"o_{s}") for s in sums])
     first = F.col(order).desc() if descending else F.col(order).asc()
     within = W.partitionBy("bucket").orderBy(first).rowsBetween(W.unboundedPreceding, W.currentRow)
-    out = placed.join(F.broadcast(offsets), "bucket")  # at most `buckets` rows
-    return out.select(*counts.columns, *[
+    # At most `buckets` rows, each present. The join is an outer one so that no filter on the bucket
+    # is pushed below the counting, where it would run per raw row and undo the exchange reuse.
+    out = placed.join(F.broadcast(offsets), "bucket", "left")
+    return out.select(*counts.columns, *[f"total_{s}" for s in sums], *[
         (F.col(f"o_{s}") + F.sum(s).over(within)).alias(f"upto_{s}") for s in sums])
 
 
