@@ -114,14 +114,24 @@ def pca_2d(i):
     return segments.pca_2d(_vectors(i)).select("loan_id", "pca_dim1", "pca_dim2", "var_share1", "var_share2")
 
 
-@query("save_and_load_model")
-def save_and_load_model(i):
+def _stored_model(i):
+    path = scratch_path(i.spark, "model")
+    writers.save_model(_model(i, "logistic"), path)
+    return writers.load_model(i.spark, path)
+
+
+@query("save_model")
+def save_model(i):
     """Scores of a model before and after a round trip through storage."""
-    model, path = _model(i, "logistic"), scratch_path(i.spark, "model")
-    writers.save_model(model, path)
     test = _split(i)[1]
-    again = models.predict(writers.load_model(i.spark, path), test).select("loan_id", F.col("p").alias("p_loaded"))
-    return models.predict(model, test).select("loan_id", "p").join(again, "loan_id")
+    again = models.predict(_stored_model(i), test).select("loan_id", F.col("p").alias("p_loaded"))
+    return models.predict(_model(i, "logistic"), test).select("loan_id", "p").join(again, "loan_id")
+
+
+@query("load_model")
+def load_model(i):
+    """Every delinquent account scored by a model read from storage."""
+    return models.predict(_stored_model(i), models.modelling_table(i.stored_master)).select("loan_id", "p")
 
 
 @query("write_run_metadata")

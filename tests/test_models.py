@@ -85,6 +85,17 @@ def test_contributions_add_up_to_the_score(split, booster, kind):
     assert names[:4] == NUMERIC and names == [c["feature"] for c in got[0]["contributions"]]
 
 
+def test_batch_scoring_with_a_model(table, booster):
+    from arrearium.plans.scoring import batch_score
+
+    accounts = table.withColumns({"outstanding_principal": F.lit(100.0), "settlement_discount_pct": F.lit(10.0)})
+    rows = batch_score(accounts, booster).select("p", "recoverable_std", "grade", "expected_yield").collect()
+    assert len(rows) == table.count()
+    for r in rows:
+        assert r["recoverable_std"] == int(r["p"] >= 0.5) and r["expected_yield"] == pytest.approx(90.0 * r["p"])
+        assert (r["grade"] == "A") == (r["p"] >= 0.75)
+
+
 def test_feature_importance_names(spark, booster):
     names = features.feature_names(booster)
     top = models.feature_importance(spark, booster, names, 3).collect()
