@@ -17,6 +17,9 @@ from arrearium.session import shared_dir
 # A side this long is a few MB: safe to send to every executor.
 BROADCAST_ROWS = 100_000
 
+# Number of tasks that share the merging of one group's quantile sketches.
+SKETCH_LOTS = 32
+
 
 def stored_and_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Compute a small-looking table once into the shared checkpoint folder and count it."""
@@ -87,12 +90,17 @@ def quantiles(
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
 
-    # Pass 1: brackets that certainly hold the wanted ranks (the sketch errs by n/accuracy).
+    # Pass 1: brackets that certainly hold the wanted ranks (a sketch errs by n/accuracy). Tasks are
+    # dealt into a few lots, so that no single task merges the sketches of all others. However rows
+    # are split into lots, a quantile of all rows lies between the least and the greatest quantile
+    # of the lots.
     slack = 3.0 / accuracy
     ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
-    brackets = long.groupBy(*keys).agg(
+    lots = long.groupBy(*keys, (F.spark_partition_id() % SKETCH_LOTS).alias("lot")).agg(
         F.count("*").alias("n"),
         F.percentile_approx("value", F.array(*[F.lit(e) for e in ends]), accuracy).alias("ends"))
+    brackets = lots.groupBy(*keys).agg(F.sum("n").alias("n"), F.array(*[
+        (F.max if k % 2 else F.min)(F.col("ends")[k]) for k in range(len(ends))]).alias("ends"))
     # Without groups there is one row per listed column; with groups the number is checked.
     brackets, small = stored_and_small(brackets) if by else (brackets, True)
     if small:

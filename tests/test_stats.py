@@ -43,6 +43,13 @@ def test_global_quantiles_are_exact(skewed):
     np.testing.assert_allclose(got["k"], np.quantile(pdf["k"], PROBS), rtol=1e-12)
 
 
+def test_quantiles_of_sorted_partitions(spark):
+    """Each task sees another range of values, so the lots disagree as far as they can."""
+    df = spark.range(0, 50_000, 1, 8).select((F.col("id") % 40_000).cast("double").alias("v"))
+    want = np.quantile(np.arange(50_000) % 40_000, PROBS)
+    np.testing.assert_allclose(stats.quantiles(df, ["v"], PROBS).first()["q"], want, rtol=1e-12)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 100])
 def test_quantiles_of_few_rows(spark, n):
     values = [float(3 * x % 11) for x in range(n)]
