@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from arrearium import fixed_values as fv

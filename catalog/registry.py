@@ -15,7 +15,7 @@ from arrearium.plans.master import build_master, clean_loans, filter_delinquent
 from arrearium.session import scratch_path
 from arrearium.sources.readers import read_master
 from arrearium.sources.writers import write_master
-from catalog.views import VIEWS, with_ctes
+from catalog.views import with_ctes
 
 BASE_TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
 _STORED: dict = {}

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from arrearium.functions import expressions as X
 from arrearium.operators import clean, joins, reports
 from arrearium.plans import master as M
 from arrearium.session import scratch_path

@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from arrearium.operators import evaluate, policy, reports
 from arrearium.operators import stats
