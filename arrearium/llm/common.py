@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,6 +83,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
         e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
 
+def stars(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """Least member of each one's component, among n members linked pairwise by a and b."""
+    root = np.arange(n)
+    while True:
+        was = root.copy()
+        least = np.minimum(root[a], root[b])
+        np.minimum.at(root, a, least)
+        np.minimum.at(root, b, least)
+        root = root[root]
+        if (root == was).all():
+            return root
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the column's bytes stay near most_bytes each; one row is never cut."""
     for batch in batches:

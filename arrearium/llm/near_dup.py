@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrearium.llm.common import ROW, connected_components, in_blocks, numbered, slices
+from arrearium.llm.common import ROW, connected_components, in_blocks, numbered, slices, stars
 from arrearium.session import stored
 
 _WORDS = 5
@@ -129,9 +129,10 @@ def _sketches(texts: DataFrame, bands: int, band_rows: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [b.column(ROW).take(pa.array(some)), pa.array(weight[some], pa.int64()),
                  pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1) * bands, pa.int32()), pa.array(keys[some].view(np.int64).ravel())),
-                 pa.array([x.tobytes() for x in short], pa.binary())], [ROW, "weight", "keys", "short"])
+                 pa.array([x.tobytes() for x in short], pa.binary()), pa.array([x.tobytes() for x in (keys[some] >> _U(32)).astype("<u4")], pa.binary())],
+                [ROW, "weight", "keys", "short", "codes"])
 
-    return texts.select(ROW, "text").mapInArrow(run, f"{ROW} long, weight long, keys array<long>, short binary")
+    return texts.select(ROW, "text").mapInArrow(run, f"{ROW} long, weight long, keys array<long>, short binary, codes binary")
 
 
 def _checked(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
@@ -159,30 +160,69 @@ def _checked(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _across(members: DataFrame, block: int, bands: int, band_rows: int, least: float) -> DataFrame:
-    """Pairs of one bucket but of different components whose signatures do not rule the similarity out.
+def _regions_of(texts: DataFrame) -> DataFrame:
+    """Sorted regions of each text as 4-byte numbers: two of a thousand agree by chance once in a thousand texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text", 500_000):
+            doc, region = regions(b.column("text").to_pylist())
+            ends = np.searchsorted(doc, np.arange(b.num_rows + 1))
+            small = (region >> _U(32)).astype("<u4")
+            parts = [small[ends[k]:ends[k + 1]].tobytes() for k in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column(ROW), pa.array(parts, pa.binary())], [ROW, "regions"])
+
+    return texts.select(ROW, "text").mapInArrow(run, f"{ROW} long, regions binary")
 
-    Runs over pairs of blocks, so a task holds at most two blocks of members; pairs are compared as arrays and only those
-    that may reach the similarity leave the task. The allowance is six standard deviations of the estimate.
+
+def _across(members: DataFrame, facts: DataFrame, block: int, bands: int, band_rows: int, least: float) -> DataFrame:
+    """Links between members of one bucket but of different components.
+
+    Runs over pairs of blocks, so a task holds at most two blocks of members. A pair counts in the first bucket that it
+    shares; the signatures rule out most (allowance: six standard deviations of the estimate), and what they leave is
+    checked by the whole sets of regions, in the task. What leaves the task are stars that join linked members, not pairs.
     """
     n = bands * band_rows
     floor_ = least - 6 * math.sqrt(least * (1 - least) / n)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, right = pdf[pdf["_side"] != 1], pdf[pdf["_side"] != 0]
-        out = []
-        sb = np.frombuffer(b"".join(right["short"]), dtype="<u2").reshape(len(right), n)
-        rows_b, comp_b, w_b = right[ROW].to_numpy(), right["component"].to_numpy(), right["weight"].to_numpy()
-        for a, comp, w, short in zip(left[ROW], left["component"], left["weight"], left["short"]):
-            may = (comp_b != comp) & (rows_b != a) & (np.minimum(w_b, w) >= least * np.maximum(w_b, w))
-            may = np.flatnonzero(may)
-            if len(may):
-                agree = (sb[may] == np.frombuffer(short, dtype="<u2")).mean(axis=1)
-                out += [(min(a, x), max(a, x)) for x in rows_b[may[agree >= floor_]]]
-        return pd.DataFrame(sorted(set(out)), columns=["a", "b"], dtype="int64")
-
-    dealt = in_blocks(members, "key", block)
-    return dealt.groupBy("key", "_i", "_j").applyInPandas(run, "a long, b long").distinct()
+        side, band = pdf["_side"].to_numpy(), int(pdf["band"].iloc[0])
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        rows, comp, weight = pdf[ROW].to_numpy(), pdf["component"].to_numpy(), pdf["weight"].to_numpy()
+        if len(np.unique(comp)) < 2:
+            return _NO_LINKS
+        short = np.frombuffer(b"".join(pdf["short"]), dtype="<u2").reshape(len(pdf), n)
+        codes = np.frombuffer(b"".join(pdf["codes"]), dtype="<u4").reshape(len(pdf), bands)
+        own = [np.frombuffer(r, dtype="<u4") for r in pdf["regions"]]
+        _, ids = np.unique(np.concatenate(own), return_inverse=True)
+        ends = np.cumsum([0] + [len(r) for r in own])
+        mark = np.zeros(ids.max() + 1, dtype=np.int32)
+        found: tuple[list, list] = ([], [])
+        for a in left:
+            may = right[(comp[right] != comp[a]) & (rows[right] != rows[a])]
+            if (side == 2).all():
+                may = may[may > a]
+            w = weight[may]
+            may = may[(np.minimum(w, weight[a]) >= least * np.maximum(w, weight[a])) & ~(codes[may, :band] == codes[a, :band]).any(axis=1)]
+            may = may[(short[may] == short[a]).mean(axis=1) >= floor_]
+            if not len(may):
+                continue
+            mark[ids[ends[a]:ends[a + 1]]] = 1
+            both = np.array([mark[ids[ends[x]:ends[x + 1]]].sum() for x in may])
+            mark[ids[ends[a]:ends[a + 1]]] = 0
+            may = may[both >= least * (weight[may] + weight[a] - both)]
+            found[0].extend([a] * len(may))
+            found[1].extend(may)
+        if not found[0]:
+            return _NO_LINKS
+        a, b = (np.array(x, dtype=np.int64) for x in found)
+        root = stars(a, b, len(pdf))
+        some = np.flatnonzero(root != np.arange(len(pdf)))
+        return pd.DataFrame({"a": rows[root[some]], "b": rows[some]})
+
+    full = in_blocks(members, "key", block).join(facts, ROW)
+    return full.groupBy("key", "_i", "_j").applyInPandas(run, "a long, b long").distinct()
+
+
+_NO_LINKS = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
 
 
 def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_rows: int = 6, block: int = 1_024,
@@ -194,8 +234,8 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_r
     kept marks one row of each class: of those with that id, the first. n_copies: rows with this very text.
 
     Steps: equal texts collapse to one; signatures are cut into bands; in each bucket all members are checked against
-    one leader; members that this leaves in different components, are then compared by signature in blocks, until
-    every pair that shares a bucket and may be similar has been checked exactly or is joined already. A pair at the
+    one leader, then what is left apart against a second; members still in different components are compared in blocks,
+    so every pair that shares a bucket and may be similar has been checked by its whole texts or is joined already. A pair at the
     threshold is missed with probability (1 - least^band_rows)^bands, 6e-5 as set.
 
     Null texts are never linked. Empty texts are equal to each other; texts of one to four words are one shingle.
@@ -210,18 +250,18 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_r
     copies = stored(first.select("_k1", "_k2", F.col(f"f.{ROW}").alias("rep"), F.col("f.id").alias("rep_id"), "n_copies"), "copies")
     texts = rows.join(copies.select(F.col("rep").alias(ROW)), ROW, "left_semi")
     sketch = stored(_sketches(texts, bands, band_rows), "sketches")
-    keyed = sketch.select(ROW, "weight", F.explode("keys").alias("key"))
+    keyed = sketch.select(ROW, "weight", F.posexplode("keys").alias("band", "key"))
     ids = copies.select(F.col("rep").alias(ROW), "rep_id")
     # One leader for each bucket, the same in all of a group's buckets, so a member meets few different ones.
     leaders = keyed.groupBy("key").agg(F.min(F.struct(ROW, "weight")).alias("l"), F.count("*").alias("m")).where("m > 1")
-    led = stored(keyed.join(leaders.select("key", "l"), "key").select("key", ROW, "weight", "l"), "buckets")
+    led = stored(keyed.join(leaders.select("key", "l"), "key").select("key", "band", ROW, "weight", "l"), "buckets")
     near = (F.least("weight", "l.weight") >= least * F.greatest("weight", "l.weight")) & (F.col(ROW) != F.col(f"l.{ROW}"))
     links = _checked(led.where(near).select(F.col(f"l.{ROW}").alias("a"), F.col(ROW).alias("b")), texts, least)
     links = stored(links, "links")
 
     def labelled(links: DataFrame) -> DataFrame:
         c = connected_components(links)
-        at = led.select("key", ROW, "weight").join(c, led[ROW] == c["node"], "left").drop("node").withColumn(
+        at = led.select("key", "band", ROW, "weight").join(c, led[ROW] == c["node"], "left").drop("node").withColumn(
             "component", F.coalesce("component", ROW))
         open_ = at.groupBy("key").agg((F.min("component") != F.max("component")).alias("_open")).where("_open").select("key")
         return at.join(open_, "key", "left_semi")
@@ -233,8 +273,11 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_r
         F.least("weight", "l.weight") >= least * F.greatest("weight", "l.weight")))
     more = _checked(asked.select(F.least(F.col(ROW), F.col(f"l.{ROW}")).alias("a"), F.greatest(F.col(ROW), F.col(f"l.{ROW}")).alias("b")), texts, least)
     links = stored(links.unionByName(more), "links")
-    left = labelled(links).join(sketch.select(ROW, "short"), ROW)
-    rest = _checked(_across(left, block, bands, band_rows, least), texts, least)
+    left = stored(labelled(links), "apart")
+    some = left.select(ROW).distinct()
+    whole = stored(_regions_of(texts.join(some, ROW, "left_semi")), "regions")
+    facts = left.select(ROW, "component", "weight").distinct().join(sketch.select(ROW, "short", "codes"), ROW).join(whole, ROW)
+    rest = stored(_across(left.select("key", "band", ROW), facts, block, bands, band_rows, least), "links")
     components = connected_components(links.unionByName(rest))
 
     # Least id of each component over its representatives, each already the least of its copies.

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrearium.llm.common import ROW, connected_components, in_blocks, numbered
+from arrearium.llm.common import ROW, connected_components, in_blocks, numbered, stars
 from arrearium.session import stored
 
 
@@ -104,16 +104,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, tables: int = 18, hash
         if not len(a):
             return _NONE
         n = np.bincount(a, minlength=len(pdf)) + np.bincount(b, minlength=len(pdf))
-        # Spanning stars: every vector takes the least member of its block pair's component.
-        root = np.arange(len(pdf))
-        while True:
-            m = np.minimum(root[a], root[b])
-            was = root.copy()
-            np.minimum.at(root, a, m)
-            np.minimum.at(root, b, m)
-            root = root[root]
-            if (root == was).all():
-                break
+        # Every vector takes the least member of its block pair's component: links enough to join them, not all pairs.
+        root = stars(a, b, len(pdf))
         some = np.flatnonzero(n)
         return pd.DataFrame({"a": ids[some], "b": ids[root[some]], "n": n[some]})
 
