@@ -13,8 +13,6 @@ from arrearium.session import stored
 # Words are made of these characters, once A-Z are lower-cased; all other ASCII separates them.
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: Probe rows of this number are a few MB and go to every executor; beyond it the probing join shuffles.
-PROBES_SENT = 200_000
 #: Benchmark terms up to this number are sent to every executor; beyond it the index build shuffles words.
 TERMS_SENT = 500_000
 
@@ -76,7 +74,8 @@ def phrase_matches(index: Index) -> DataFrame:
 
     Lists are intersected from the rarest term on, each shifted by the term's offset. The first two lists are joined on
     row and position, and hold few postings; what they leave, is nearly all true, so the remaining terms are looked up
-    by (row, term, position), each place once however many windows ask for it.
+    by (row, term, position), each place once however many windows ask for it. What is found grows with the corpus, so
+    that join shuffles the index at every size; only the benchmark's own terms and windows are sent to all executors.
     """
     absent = F.col("t")[0]["freq"] == 0
     windows = index.windows.where(~absent).select("win", "t", F.size("t").alias("n"))
@@ -98,7 +97,7 @@ def phrase_matches(index: Index) -> DataFrame:
         ROW, "win", "start", "n", F.explode(F.slice("t", 3, 1 << 20)).alias("x")).select(
         ROW, "win", "start", "n", F.col("x.term").alias("term"), (F.col("start") + F.col("x.off")).alias("pos"))
     places = stored(rest.select(ROW, "term", "pos").distinct(), "places")
-    real = index.postings.select(ROW, "term", "pos").join(_sent(places, PROBES_SENT), [ROW, "term", "pos"], "left_semi").distinct()
+    real = index.postings.select(ROW, "term", "pos").join(places.hint("merge"), [ROW, "term", "pos"], "left_semi").distinct()
     whole = rest.join(real, [ROW, "term", "pos"]).groupBy(ROW, "win", "start", "n").agg(F.count("*").alias("c")).where("c = n - 2")
     return held.where("n <= 2").select(ROW, "win", "start", F.col("n").alias("length")).unionByName(
         whole.select(ROW, "win", "start", F.col("n").alias("length"))).distinct()

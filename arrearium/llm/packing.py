@@ -21,8 +21,7 @@ from arrearium.session import stored
 WORDS_KEPT = 500_000
 
 # White space other than the blank; next to a blank it keeps the blank from being the start of a word of its own.
-_ODD_SPACE = ("\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0      "
-              "          　")
+_ODD_SPACE = "".join(map(chr, [*range(9, 14), *range(28, 32), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))
 # Fixed value: how byte-level pre-tokenizers split text.
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _PROBES = ["Hello  world's 12\n\n x\t!", " été straße 你好 \U0001f600", "", "a b  \n c\r\n", "x1y22 _-_ ...  "]
