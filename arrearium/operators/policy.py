@@ -23,7 +23,7 @@ def contact_cap(contacts: DataFrame, max_contacts: int = 3, days: int = 7) -> Da
 
 def score_drop_alert(scores: DataFrame, points: int = 35, days: int = 90) -> DataFrame:
     """Flag a score at least `points` below the account's best of the last `days`."""
-    out = rolling_max(scores, "account_id", "score_ts", "score", days, "best_score", "event_id")
+    out = rolling_max(scores, "account_id", "score_ts", "score", days, "best_score")
     drop = F.col("best_score") - F.col("score")
     return out.withColumns({"score_drop": drop, "alert": (drop >= points).cast("int")})
 

@@ -31,13 +31,19 @@ def standardize_columns(df: DataFrame, aliases: Mapping[str, Sequence[str]] = fv
 
 def _number(c: str) -> Column:
     """Text or number to a finite double, else NULL."""
-    return X.nan_to_null(F.col(f"`{c}`").try_cast("double"))
+    n = X.nan_to_null(F.col(f"`{c}`").try_cast("double"))
+    return F.when(F.abs(n) < float("inf"), n)
+
+
+def _whole(c: str) -> Column:
+    """The same as an int; NULL where it does not fit."""
+    return _number(c).try_cast("int")
 
 
 def coerce_numeric(df: DataFrame, defaults: Mapping[str, float] = fv.NUMERIC_DEFAULTS) -> DataFrame:
-    """Unreadable or missing numbers become the default; an int default gives an int column."""
+    """Unreadable or missing numbers, and those an int default cannot hold, become the default; it sets the type."""
     return df.withColumns({
-        c: F.coalesce(_number(c), F.lit(float(v))).cast("int" if isinstance(v, int) else "double")
+        c: F.coalesce(_whole(c), F.lit(v)) if isinstance(v, int) else F.coalesce(_number(c), F.lit(float(v)))
         for c, v in defaults.items() if c in df.columns})
 
 
@@ -71,7 +77,7 @@ def derive_recovery_flag(df: DataFrame, whole_words: bool = False) -> DataFrame:
     have = set(df.columns)
 
     def flag(c: str, default: int) -> Column:
-        return F.coalesce(_number(c), F.lit(float(default))).cast("int")
+        return F.coalesce(_whole(c), F.lit(default))
 
     worded = next((c for c in fv.RECOVERY_KEYWORDS if c in have), None)
     if "recovery_target_binary" in have:
@@ -81,7 +87,7 @@ def derive_recovery_flag(df: DataFrame, whole_words: bool = False) -> DataFrame:
     elif worded:
         out = X.contains_any(worded, fv.RECOVERY_KEYWORDS[worded], whole_words).cast("int")
     elif "default_flag" in have:
-        out = (1 - F.coalesce(_number("default_flag"), F.lit(0.0))).cast("int")
+        out = F.lit(1) - F.coalesce(_whole("default_flag"), F.lit(0))
     elif "loyal_customer" in have:
         out = flag("loyal_customer", 1)
     else:
@@ -107,7 +113,7 @@ def derive_recovered_amount(df: DataFrame, key: str | None = None) -> DataFrame:
 
 def derive_default_flag(df: DataFrame) -> DataFrame:
     if "default_flag" in df.columns:
-        out = F.coalesce(_number("default_flag"), F.lit(0.0)).cast("int")
+        out = F.coalesce(_whole("default_flag"), F.lit(0))
     elif "delinquency_bucket" in df.columns:
         out = F.coalesce(F.col("delinquency_bucket").rlike(fv.DEFAULT_STAGE_PATTERN), F.lit(False)).cast("int")
     else:

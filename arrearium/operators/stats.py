@@ -90,13 +90,13 @@ def quantiles(
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
 
-    # Pass 1: brackets that certainly hold the wanted ranks (a sketch errs by n/accuracy). Tasks are
-    # dealt into a few lots, so that no single task merges the sketches of all others. However rows
-    # are split into lots, a quantile of all rows lies between the least and the greatest quantile
+    # Pass 1: brackets that certainly hold the wanted ranks (a sketch errs by n/accuracy). Rows are
+    # dealt into a few lots at random, so that no single task merges the sketches of all others and sorted data
+    # makes no lot unlike the rest. However rows are split into lots, a quantile of all rows lies between the least and the greatest quantile
     # of the lots.
     slack = 3.0 / accuracy
     ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
-    lots = long.groupBy(*keys, (F.spark_partition_id() % SKETCH_LOTS).alias("lot")).agg(
+    lots = long.groupBy(*keys, F.floor(F.rand(7) * SKETCH_LOTS).alias("lot")).agg(
         F.count("*").alias("n"),
         F.percentile_approx("value", F.array(*[F.lit(e) for e in ends]), accuracy).alias("ends"))
     brackets = lots.groupBy(*keys).agg(F.sum("n").alias("n"), F.array(*[
@@ -123,11 +123,15 @@ def quantiles(
         .groupBy(*keys, "n", "below", "kept")
         .agg(F.count("*").alias("cnt"))
     )
-    # Rows between brackets are one counted row each, ordered after the bracket they lie beyond.
-    order = [F.col("below"), F.col("kept").isNotNull(), F.col("kept")]
-    running = counted.withColumn(
-        "upto", F.sum("cnt").over(W.partitionBy(*keys).orderBy(*order)
-                                  .rowsBetween(W.unboundedPreceding, W.currentRow)))
+    # Rows between brackets are one counted row each, ordered after the bracket they lie beyond. Ranks are
+    # summed within one bracket at a time; bracket totals, a few rows for each group, give the offsets.
+    level = counted.groupBy(*keys, "below").agg(F.sum("cnt").alias("cnt"))
+    offsets = level.select(*keys, "below", F.coalesce(F.sum("cnt").over(W.partitionBy(*keys).orderBy("below").rowsBetween(
+        W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    within = W.partitionBy(*keys, "below").orderBy(F.col("kept").isNotNull(), F.col("kept")).rowsBetween(
+        W.unboundedPreceding, W.currentRow)
+    running = counted.withColumn("within", F.sum("cnt").over(within)).join(offsets, [*keys, "below"]).withColumn(
+        "upto", F.col("before") + F.col("within"))
 
     def at_rank(rank: Column) -> Column:
         # smallest (upto, kept) whose running count passes the 0-based rank

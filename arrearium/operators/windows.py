@@ -46,28 +46,30 @@ def rolling_count(events: DataFrame, key: str, ts: str, days: int, out: str, chu
     return flat.withColumn(out, run).where(F.col("r").isNotNull()).select("r.*", out)
 
 
-def rolling_max(events: DataFrame, key: str, ts: str, value: str, days: int, out: str, id_col: str) -> DataFrame:
+def rolling_max(events: DataFrame, key: str, ts: str, value: str, days: int, out: str) -> DataFrame:
     """Largest value of the key in [ts - days, ts], equal times included.
 
     With chunks as long as the window, that window is a head of the row's own chunk plus a tail of
-    the one before: the larger of a running maximum and a backward running maximum.
+    the one before: the larger of a running maximum and a backward running maximum. The row itself travels to
+    the chunk before and back, so rows need no id; NULL keys and times are groups of their own.
     """
     chunk = days * DAY
-    at = events.withColumn("_t", _micros(ts)).withColumn("_c", F.floor(F.col("_t") / chunk))
-    own, t = F.col("_c"), F.col("_t")
+    at = events.withColumns({"_k": F.col(key), "_t": _micros(ts)}).withColumn("_c", F.floor(F.col("_t") / chunk))
+    forward = W.partitionBy("_k", "_c").orderBy("_t").rangeBetween(W.unboundedPreceding, W.currentRow)
+    headed = at.withColumn("_head", F.max(value).over(forward))
+    row = F.struct(*[F.col(f"`{c}`") for c in events.columns])
+    nothing = F.lit(None).cast(events.select(row.alias("r")).schema["r"].dataType)
+    none = F.lit(None).cast(dict(events.dtypes)[value])
 
-    def step(c: Column, when: Column, v: Column, asks: bool) -> Column:
-        return F.struct(c.alias("c"), when.alias("t"), v.alias("v"), F.lit(asks).alias("asks"))
+    def step(c: Column, when: Column, v: Column, head: Column, r: Column) -> Column:
+        return F.struct(c.alias("c"), when.alias("t"), v.alias("v"), head.alias("head"), r.alias("r"))
 
-    none = F.lit(None).cast(dict(events.dtypes)[value])
-    steps = F.array(step(own, t, F.col(value), False), step(own - 1, t - chunk, none, True))
-    flat = at.select(F.col(key).alias("_k"), F.col(id_col).alias("_id"), F.explode(steps).alias("s")).select("_k", "_id", "s.*")
-    by_time = W.partitionBy("_k", "c").orderBy("t").rangeBetween(W.unboundedPreceding, W.currentRow)
-    by_time_back = W.partitionBy("_k", "c").orderBy("t").rangeBetween(W.currentRow, W.unboundedFollowing)
-    head, tail = F.max("v").over(by_time), F.max("v").over(by_time_back)
-    parts = flat.select("_id", F.when(F.col("asks"), tail).otherwise(head).alias("m"))
-    best = parts.groupBy("_id").agg(F.max("m").alias(out))
-    return events.join(best, events[id_col] == best["_id"]).drop("_id")
+    steps = F.array(step(F.col("_c"), F.col("_t"), F.col(value), none, nothing),
+                    step(F.col("_c") - 1, F.col("_t") - chunk, none, F.col("_head"), row))
+    flat = headed.select("_k", F.explode(steps).alias("s")).select("_k", "s.*")
+    back = W.partitionBy("_k", "c").orderBy("t").rangeBetween(W.currentRow, W.unboundedFollowing)
+    tail = flat.withColumn("_tail", F.max("v").over(back)).where(F.col("r").isNotNull())
+    return tail.select("r.*", F.greatest("head", "_tail").alias(out))
 
 
 def previous_value(events: DataFrame, key: str, ts: str, value: str, id_col: str, out: str,
@@ -75,15 +77,18 @@ def previous_value(events: DataFrame, key: str, ts: str, value: str, id_col: str
     """Value of the key's event before this one (by time, then id); NULL for the first.
 
     Within a chunk this is lag. The first event of a chunk takes the last value of the key's
-    previous non-empty chunk, found on one summary row per key and chunk.
+    previous non-empty chunk, found on one summary row per key and chunk. NULL times come first, NULL keys
+    are a group of their own.
     """
     chunk = chunk_days * DAY
-    at = events.withColumn("_c", F.floor(_micros(ts) / chunk))
+    at = events.withColumns({"_k": F.col(key), "_c": F.floor(_micros(ts) / chunk)})
     order = F.struct(F.col(ts), F.col(id_col))
-    ends = at.groupBy(key, "_c").agg(F.max_by(F.struct(F.col(value).alias("v")), order).alias("last"))
-    carried = ends.select(key, "_c", F.lag("last").over(W.partitionBy(key).orderBy("_c")).alias("_carry"))
-    within = W.partitionBy(key, "_c").orderBy(ts, id_col)
+    ends = at.groupBy("_k", "_c").agg(F.max_by(F.struct(F.col(value).alias("v")), order).alias("last"))
+    carried = ends.select(F.col("_k").alias("_k2"), F.col("_c").alias("_c2"),
+                          F.lag("last").over(W.partitionBy("_k").orderBy("_c")).alias("_carry"))
+    within = W.partitionBy("_k", "_c").orderBy(ts, id_col)
     boxed = F.lag(F.struct(F.col(value).alias("v"))).over(within)
-    return (at.withColumn("_lag", boxed).join(carried, [key, "_c"])
+    same = F.col("_k").eqNullSafe(F.col("_k2")) & F.col("_c").eqNullSafe(F.col("_c2"))
+    return (at.withColumn("_lag", boxed).join(carried, same, "left")
             .withColumn(out, F.coalesce("_lag", "_carry")["v"])
             .select(*events.columns, out))

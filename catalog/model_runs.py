@@ -102,7 +102,7 @@ def kmeans_segments(i):
 
 @query("write_segments")
 def write_segments(i):
-    named = segments.persona_rules(segments.kmeans_segments(_vectors(i), starts=1))
+    named = segments.persona_rules(segments.kmeans_segments(_vectors(i), parallelism=8))
     path = scratch_path(i.spark, "segments")
     writers.write_segments(named.drop("features"), path)
     return i.spark.read.parquet(path).groupBy("cluster_id", "segment_name").agg(F.count("*").alias("n"))

@@ -217,3 +217,10 @@ def test_csv_round_trip(spark, tmp_path):
 def test_missing_paths_are_reported(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.read_first_existing(spark, [f"{tmp_path}/a.parquet", f"{tmp_path}/b.csv"])
+
+
+def test_numbers_that_do_not_fit_become_the_default(spark):
+    from arrearium.operators.standardize import coerce_numeric
+
+    df = spark.createDataFrame([("inf",), ("9999999999",), ("12",), ("x",), (None,)], "overdue_days string")
+    assert [r[0] for r in coerce_numeric(df, {"overdue_days": 0}).collect()] == [0, 0, 12, 0, 0]

@@ -118,7 +118,7 @@ def test_rolling_count(timeline):
 
 def test_rolling_max(timeline):
     rows, df = timeline
-    got = {r["event_id"]: r["m"] for r in windows.rolling_max(df, "account_id", "ts", "score", 90, "m", "event_id").collect()}
+    got = {r["event_id"]: r["m"] for r in windows.rolling_max(df, "account_id", "ts", "score", 90, "m").collect()}
     assert got == {r[0]: max(q[3] for q in w) for r, w in _look_back(rows, 90)}
 
 
@@ -146,3 +146,23 @@ def test_psi_of_equal_populations_is_zero(skewed):
     both = df.withColumn("base", F.lit(True)).unionByName(df.withColumn("base", F.lit(False)))
     psi = policy.stability_index(policy.population_stability(both, "v", F.col("base"))).first()
     assert psi["psi"] == pytest.approx(0.0, abs=1e-12) and psi["alert"] == 0
+
+
+def test_windows_with_nulls_and_repeated_ids(spark):
+    from pyspark.sql import Window as W
+
+    rows = [(1, 10, "2024-01-01", 1), (1, 11, "2024-01-02", 100), (2, 10, None, 7), (None, 10, "2024-02-01", 5), (3, None, "2024-02-01", 9),
+            (4, None, "2024-02-03", 2), (5, 10, "2024-03-20", 3), (5, 10, "2024-03-20", 3), (6, 10, "2024-07-01", 4)]
+    df = spark.createDataFrame(rows, "event_id int, account_id int, d string, v int").selectExpr("event_id", "account_id", "to_timestamp(d) ts", "v").coalesce(1)
+    at = F.unix_micros("ts")
+    plain = df.withColumn("m", F.max("v").over(W.partitionBy("account_id").orderBy(at).rangeBetween(-90 * 86_400_000_000, 0)))
+    assert sorted(map(str, windows.rolling_max(df, "account_id", "ts", "v", 90, "m").collect())) == sorted(map(str, plain.collect()))
+    plain = df.withColumn("p", F.lag("v").over(W.partitionBy("account_id").orderBy("ts", "event_id")))
+    got = windows.previous_value(df, "account_id", "ts", "v", "event_id", "p").collect()
+    assert sorted(map(str, got)) == sorted(map(str, plain.collect()))
+
+
+def test_ranks_are_summed_by_bracket(spark):
+    df = spark.range(200_000).selectExpr("id * 1.0 as x")
+    q = stats.quantiles(df, ["x"], [0.1, 0.5, 0.9]).first()["q"]
+    assert q == [19999.9, 99999.5, 179999.1]
