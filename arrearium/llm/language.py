@@ -25,7 +25,7 @@ def code_book(languages: int, seed: int = 1) -> np.ndarray:
     """
     if languages <= 6:
         columns = [[1 if k >> i & 1 else -1 for i in range(languages)] for k in range(1, 2 ** max(languages - 1, 0))]
-        return np.array(columns or [[1] * languages], dtype=np.float64).T.reshape(languages, -1)
+        return np.array(columns or [[1] * languages], dtype=np.float64).T.reshape(languages, max(1, len(columns)))
     rng = np.random.default_rng(seed)
     n = int(10 * np.ceil(np.log2(languages)))
     half = np.array([1] * (languages // 2) + [-1] * (languages - languages // 2), dtype=np.float64)
