@@ -178,7 +178,8 @@ def _across(members: DataFrame, facts: DataFrame, block: int, bands: int, band_r
 
     Runs over pairs of blocks, so a task holds at most two blocks of members. A pair counts in the first bucket that it
     shares; the signatures rule out most (allowance: six standard deviations of the estimate), and what they leave is
-    checked by the whole sets of regions, in the task. What leaves the task are stars that join linked members, not pairs.
+    checked by the whole sets of regions, in the task. Members that a link has joined are not compared again. What leaves
+    the task are stars that join linked members, not pairs.
     """
     n = bands * band_rows
     floor_ = least - 6 * math.sqrt(least * (1 - least) / n)
@@ -195,6 +196,7 @@ def _across(members: DataFrame, facts: DataFrame, block: int, bands: int, band_r
         _, ids = np.unique(np.concatenate(own), return_inverse=True)
         ends = np.cumsum([0] + [len(r) for r in own])
         mark = np.zeros(ids.max() + 1, dtype=np.int32)
+        comp = comp.copy()
         found: tuple[list, list] = ([], [])
         for a in left:
             may = right[(comp[right] != comp[a]) & (rows[right] != rows[a])]
@@ -211,6 +213,7 @@ def _across(members: DataFrame, facts: DataFrame, block: int, bands: int, band_r
             may = may[both >= least * (weight[may] + weight[a] - both)]
             found[0].extend([a] * len(may))
             found[1].extend(may)
+            comp[np.isin(comp, comp[may])] = comp[a]
         if not found[0]:
             return _NO_LINKS
         a, b = (np.array(x, dtype=np.int64) for x in found)
