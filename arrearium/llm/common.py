@@ -51,20 +51,23 @@ def in_blocks(members: DataFrame, key: str, block: int) -> DataFrame:
         F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0).otherwise(1).alias("_side"))
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
-    """node, component (the least node it is joined to) for every node of edges (a, b).
+def connected_components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
+    """node, component (the least node it is joined to) for every node of edges (a, b), a stored table that may repeat edges.
 
-    Alternates the large-star and small-star steps until the edges no longer change. Each round is written to the
-    shared folder; what is compared on the driver is one count and one checksum.
+    Alternates the large-star and small-star steps until the edges are stars: no node has two edges up, or one up and one
+    down. Each round is written to the shared folder; what reaches the driver is one count of nodes. With `rounds` it
+    stops after so many: nodes of one component are joined then too, but a component may still be in several parts.
     """
-    spark = edges.sparkSession
+    e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+    def is_stars(e: DataFrame) -> bool:
+        ends = F.explode(F.array(F.struct(F.col("u").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                                 F.struct(F.col("v").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("p")
+        nodes = e.select(ends).select("p.*").groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return nodes.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).agg(F.count("*")).first()[0] == 0
 
-    e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    seen = mark(e)
-    while seen[0]:
+    done = 0
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -73,14 +76,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(
             F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")))).alias("p")).select("p.*").where("u <> v").distinct()
         e = stored(small, "links")
-        now = mark(e)
-        if now == seen:
+        done += 1
+        if done == rounds or is_stars(e):
             break
-        seen = now
-    if not seen[0]:
-        return spark.createDataFrame([], "node long, component long")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
+    up = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return up.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).groupBy("node").agg(
+        F.min("component").alias("component"))
 
 
 def stars(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:

@@ -262,21 +262,22 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_r
     links = _checked(led.where(near).select(F.col(f"l.{ROW}").alias("a"), F.col(ROW).alias("b")), texts, least)
     links = stored(links, "links")
 
-    def labelled(links: DataFrame) -> DataFrame:
-        c = connected_components(links)
-        at = led.select("key", "band", ROW, "weight").join(c, led[ROW] == c["node"], "left").drop("node").withColumn(
+    def labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+        """Members of buckets that are not joined yet. Two rounds join nearly all; a part too many costs a check, no link."""
+        c = connected_components(links, rounds=2)
+        at = members.select("key", "band", ROW, "weight").join(c, members[ROW] == c["node"], "left").drop("node").withColumn(
             "component", F.coalesce("component", ROW))
         open_ = at.groupBy("key").agg((F.min("component") != F.max("component")).alias("_open")).where("_open").select("key")
         return at.join(open_, "key", "left_semi")
 
     # Second leaders, drawn anew in each bucket: they join most of what the first left apart, at one check a member.
-    left = stored(labelled(links), "apart")
+    left = stored(labelled(led, links), "apart")
     second = left.groupBy("key").agg(F.min(F.struct(F.xxhash64(ROW, "key").alias("h"), ROW, "component", "weight")).alias("l"))
     asked = left.join(second, "key").where((F.col("component") != F.col("l.component")) & (
         F.least("weight", "l.weight") >= least * F.greatest("weight", "l.weight")))
     more = _checked(asked.select(F.least(F.col(ROW), F.col(f"l.{ROW}")).alias("a"), F.greatest(F.col(ROW), F.col(f"l.{ROW}")).alias("b")), texts, least)
     links = stored(links.unionByName(more), "links")
-    left = stored(labelled(links), "apart")
+    left = stored(labelled(left, links), "apart")
     some = left.select(ROW).distinct()
     whole = stored(_regions_of(texts.join(some, ROW, "left_semi")), "regions")
     facts = left.select(ROW, "component", "weight").distinct().join(sketch.select(ROW, "short", "codes"), ROW).join(whole, ROW)
