@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
@@ -34,12 +38,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/arrearium/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside are removed at the end, but for those stored with keep=True.
+
+    What outlives the scope may read only kept tables. Nothing else is removed: the paths are the scope's own, each new.
+    """
+    mine: list[str] = []
+    outer = _scope.set(mine)
+    try:
+        yield
+    finally:
+        _scope.reset(outer)
+        for path in mine:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write a table that several passes will read to the shared folder, and read it from there.
 
-    Unlike a cache it survives lost executors, and each pass reads only the columns it needs.
+    Unlike a cache it survives lost executors, and each pass reads only the columns it needs. In a scratch_scope the
+    table goes at its end unless keep is set.
     """
     path = scratch_path(df.sparkSession, name)
+    scope = _scope.get()
+    if scope is not None and not keep:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
