@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrearium.llm.common import ROW, connected_components, in_blocks, numbered, slices, stars
-from arrearium.session import stored
+from arrearium.session import scratch_scope, stored
 
 _WORDS = 5
 _U = np.uint64
@@ -228,33 +228,10 @@ def _across(members: DataFrame, facts: DataFrame, block: int, bands: int, band_r
 _NO_LINKS = pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
 
 
-def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_rows: int = 6, block: int = 1_024,
-                    id_col: str = "doc_id", text_col: str = "text", rows: DataFrame | None = None) -> DataFrame:
-    """A row for each row of docs: the id column, class_id, kept, n_copies, and the row number.
-
-    Two texts are linked when equal, or when the weighted Jaccard similarity of their five-word shingles (weight: how
-    often a shingle occurs) is at least `least`; classes are what links join. class_id is the least id of the class and
-    kept marks one row of each class: of those with that id, the first. n_copies: rows with this very text.
-
-    Steps: equal texts collapse to one; signatures are cut into bands; in each bucket all members are checked against
-    one leader, then what is left apart against a second; members still in different components are compared in blocks,
-    so every pair that shares a bucket and may be similar has been checked by its whole texts or is joined already. A pair at the
-    threshold is missed with probability (1 - least^band_rows)^bands, 6e-5 as set.
-
-    Null texts are never linked. Empty texts are equal to each other; texts of one to four words are one shingle.
-    Repeated rows are copies; a null id sorts last. An empty table gives an empty result. Other columns are not read.
-    """
-    if rows is None:
-        rows = numbered(docs, {"id": F.col(f"`{id_col}`"), "text": F.col(f"`{text_col}`")}, "texts")
-    hashed = rows.select(ROW, "id", *[F.when(F.col("text").isNull(), F.lit(None)).otherwise(h).alias(k) for k, h in (
-        ("_k1", F.xxhash64("text")), ("_k2", F.xxhash64(F.concat(F.lit("#"), "text"))))])
-    known = hashed.where("_k1 is not null")
-    first = known.groupBy("_k1", "_k2").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", ROW)).alias("f"), F.count("*").alias("n_copies"))
-    copies = stored(first.select("_k1", "_k2", F.col(f"f.{ROW}").alias("rep"), F.col("f.id").alias("rep_id"), "n_copies"), "copies")
-    texts = rows.join(copies.select(F.col("rep").alias(ROW)), ROW, "left_semi")
+def _components(texts: DataFrame, least: float, bands: int, band_rows: int, block: int) -> DataFrame:
+    """node, component over texts that are all different: signatures, leaders, then blocks. Leaves one table behind."""
     sketch = stored(_sketches(texts, bands, band_rows), "sketches")
     keyed = sketch.select(ROW, "weight", F.posexplode("keys").alias("band", "key"))
-    ids = copies.select(F.col("rep").alias(ROW), "rep_id")
     # One leader for each bucket, the same in all of a group's buckets, so a member meets few different ones.
     leaders = keyed.groupBy("key").agg(F.min(F.struct(ROW, "weight")).alias("l"), F.count("*").alias("m")).where("m > 1")
     led = stored(keyed.join(leaders.select("key", "l"), "key").select("key", "band", ROW, "weight", "l"), "buckets")
@@ -282,9 +259,38 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_r
     whole = stored(_regions_of(texts.join(some, ROW, "left_semi")), "regions")
     facts = left.select(ROW, "component", "weight").distinct().join(sketch.select(ROW, "short", "codes"), ROW).join(whole, ROW)
     rest = stored(_across(left.select("key", "band", ROW), facts, block, bands, band_rows, least), "links")
-    components = connected_components(links.unionByName(rest))
+    return stored(connected_components(links.unionByName(rest)), "components", keep=True)
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_rows: int = 6, block: int = 1_024,
+                    id_col: str = "doc_id", text_col: str = "text", rows: DataFrame | None = None) -> DataFrame:
+    """A row for each row of docs: the id column, class_id, kept, n_copies, and the row number.
+
+    Two texts are linked when equal, or when the weighted Jaccard similarity of their five-word shingles (weight: how
+    often a shingle occurs) is at least `least`; classes are what links join. class_id is the least id of the class and
+    kept marks one row of each class: of those with that id, the first. n_copies: rows with this very text.
+
+    Steps: equal texts collapse to one; signatures are cut into bands; in each bucket all members are checked against
+    one leader, then what is left apart against a second; members still in different components are compared in blocks,
+    so every pair that shares a bucket and may be similar has been checked by its whole texts or is joined already. A pair at the
+    threshold is missed with probability (1 - least^band_rows)^bands, 6e-5 as set.
+
+    Null texts are never linked. Empty texts are equal to each other; texts of one to four words are one shingle.
+    Repeated rows are copies; a null id sorts last. An empty table gives an empty result. Other columns are not read.
+    """
+    if rows is None:
+        rows = numbered(docs, {"id": F.col(f"`{id_col}`"), "text": F.col(f"`{text_col}`")}, "texts")
+    hashed = rows.select(ROW, "id", *[F.when(F.col("text").isNull(), F.lit(None)).otherwise(h).alias(k) for k, h in (
+        ("_k1", F.xxhash64("text")), ("_k2", F.xxhash64(F.concat(F.lit("#"), "text"))))])
+    known = hashed.where("_k1 is not null")
+    first = known.groupBy("_k1", "_k2").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", ROW)).alias("f"), F.count("*").alias("n_copies"))
+    copies = stored(first.select("_k1", "_k2", F.col(f"f.{ROW}").alias("rep"), F.col("f.id").alias("rep_id"), "n_copies"), "copies")
+    texts = rows.join(copies.select(F.col("rep").alias(ROW)), ROW, "left_semi")
+    with scratch_scope(docs.sparkSession):
+        components = _components(texts, least, bands, band_rows, block)
 
     # Least id of each component over its representatives, each already the least of its copies.
+    ids = copies.select(F.col("rep").alias(ROW), "rep_id")
     classed = ids.join(components, ids[ROW] == components["node"], "left").select(
         ids[ROW].alias("rep"), F.coalesce("component", ids[ROW]).alias("component"), "rep_id")
     top = classed.groupBy("component").agg(F.min(F.struct(F.col("rep_id").isNull().alias("no"), "rep_id", "rep")).alias("t"))
