@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrearium.llm.common import ROW, numbered
-from arrearium.session import stored
+from arrearium.session import scratch_scope, stored
 
 # Words are made of these characters, once A-Z are lower-cased; all other ASCII separates them.
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -133,7 +133,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     benchmark nothing is hit. Other columns are not read, whatever their names.
     """
     index = build_index(docs, benchmark, window, id_col, text_col, row=row)
-    found = stored(phrase_matches(index), "matches")
+    with scratch_scope(docs.sparkSession):
+        found = stored(phrase_matches(index), "matches", keep=True)
     hit = found.select(ROW, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("pos")).distinct()
     hit = hit.groupBy(ROW).agg(F.count("*").alias("n_hit"))
     # At most one row for each item and document; the list is as long as the benchmark at most.
