@@ -12,7 +12,7 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,16 +40,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Tables stored inside are removed at the end, but for those stored with keep=True.
+    """Tables stored inside are removed at the end, but for those stored with keep=True: these go with the scope around it, if any.
 
     What outlives the scope may read only kept tables. Nothing else is removed: the paths are the scope's own, each new.
     """
     mine: list[str] = []
-    outer = _scope.set(mine)
+    outer = _scopes.set((*_scopes.get(), mine))
     try:
         yield
     finally:
-        _scope.reset(outer)
+        _scopes.reset(outer)
         for path in mine:
             at = spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
@@ -62,9 +62,9 @@ def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     table goes at its end unless keep is set.
     """
     path = scratch_path(df.sparkSession, name)
-    scope = _scope.get()
-    if scope is not None and not keep:
-        scope.append(path)
+    scopes = _scopes.get()[:-1] if keep else _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
