@@ -28,6 +28,16 @@ def numbered(df: DataFrame, columns: dict[str, Column], name: str) -> DataFrame:
     return stored(df.select(F.monotonically_increasing_id().alias(ROW), *[c.alias(n) for n, c in columns.items()]), name)
 
 
+def sent(side: DataFrame, most_rows: int = 500_000) -> DataFrame:
+    """Hint a broadcast for a stored side only after counting it."""
+    return F.broadcast(side) if side.limit(most_rows + 1).count() <= most_rows else side
+
+
+def text_key(text: Column) -> list[Column]:
+    """_k1, _k2: 128 bits of hash that stand for a text; null for null."""
+    return [F.when(text.isNotNull(), h).alias(k) for k, h in (("_k1", F.xxhash64(text)), ("_k2", F.xxhash64(F.concat(F.lit("#"), text))))]
+
+
 def held_out(doc_id: str | Column) -> Column:
     """The quarter of all ids that no model may learn from; a null id is not held out."""
     key = F.col(doc_id) if isinstance(doc_id, str) else doc_id

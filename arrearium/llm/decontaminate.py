@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrearium.llm.common import ROW, numbered
+from arrearium.llm.common import ROW, sent, text_key
 from arrearium.session import scratch_scope, stored
 
 # Words are made of these characters, once A-Z are lower-cased; all other ASCII separates them.
@@ -22,11 +22,6 @@ def words(text: Column) -> Column:
     return F.filter(F.split(lower, _BETWEEN), lambda w: w != "")
 
 
-def _sent(side: DataFrame, most_rows: int) -> DataFrame:
-    """Hint a broadcast for a stored side only after counting it."""
-    return F.broadcast(side) if side.limit(most_rows + 1).count() <= most_rows else side
-
-
 @dataclass
 class Index:
     """postings: row, id, term, pos - one for each occurrence of a term, in the order of the documents. Term -1 is the
@@ -39,7 +34,7 @@ class Index:
 
 
 def build_index(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
-                item_col: str = "item_id", item_text_col: str = "text", row: Column | None = None) -> Index:
+                item_col: str = "item_id", item_text_col: str = "text") -> Index:
     """Store the positional postings of all words that any benchmark item holds: no other word can be part of a match.
 
     One pass over the texts and no shuffle: postings are written where they are made, in document order, so ids and
@@ -51,11 +46,10 @@ def build_index(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col:
         F.monotonically_increasing_id().alias("term"), "word"), "terms")
     end = docs.sparkSession.range(1).select(F.lit(-1).cast("long").alias("term"), F.lit("").alias("word"))
     end = stored(end.unionByName(distinct), "terms-and-end")
-    number = F.monotonically_increasing_id() if row is None else row
     # Numbered before the words are told apart: a number is a document's.
-    texts = docs.select(number.alias(ROW), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    texts = docs.select(F.monotonically_increasing_id().alias(ROW), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     tokens = texts.select(ROW, "id", F.posexplode(F.concat(words(F.col("text")), F.array(F.lit("")))).alias("pos", "word"))
-    postings = stored(tokens.join(_sent(end, TERMS_SENT), "word").select(ROW, "id", "term", "pos"), "postings")
+    postings = stored(tokens.join(sent(end, TERMS_SENT), "word").select(ROW, "id", "term", "pos"), "postings")
     freq = postings.groupBy("term").agg(F.count("*").alias("freq"))
     terms = stored(distinct.join(freq, "term", "left").select("term", "word", F.coalesce("freq", F.lit(0)).alias("freq")), "frequencies")
 
@@ -79,13 +73,13 @@ def phrase_matches(index: Index) -> DataFrame:
     """
     absent = F.col("t")[0]["freq"] == 0
     windows = index.windows.where(~absent).select("win", "t", F.size("t").alias("n"))
-    windows = _sent(stored(windows, "present"), TERMS_SENT)
+    windows = sent(stored(windows, "present"), TERMS_SENT)
     t = F.col("t")
     first = index.postings.join(windows.select("win", "n", t[0]["term"].alias("term"), t[0]["off"].alias("off"),
                                                F.try_element_at(t, F.lit(2)).alias("next")), "term")
     begun = first.select(ROW, "win", "n", (F.col("pos") - F.col("off")).alias("start"), "next").where("start >= 0")
     # Postings of the terms that are second in some window.
-    seconds = _sent(stored(windows.where("n > 1").select(t[1]["term"].alias("term")).distinct(), "seconds"), TERMS_SENT)
+    seconds = sent(stored(windows.where("n > 1").select(t[1]["term"].alias("term")).distinct(), "seconds"), TERMS_SENT)
     second = index.postings.join(seconds, "term", "left_semi").select(
         F.col(ROW).alias("_r"), F.col("term").alias("_t"), F.col("pos").alias("_p"))
     probe = begun.where("n > 1").withColumns({"_t2": F.col("next.term"), "_p2": F.col("start") + F.col("next.off")})
@@ -124,15 +118,14 @@ def proximity_matches(index: Index, terms: list[str], within: int) -> DataFrame:
     return base.select(ROW, F.col("lo").alias("start"), F.col("hi").alias("end"))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
-                  row: Column | None = None) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each document: id, n_words, n_hit, n_items, items_sha256, contaminated, and the row number.
 
     A word is hit if it lies in an occurrence of any window. Null and empty texts have no words and are never hit; items
     without words match nothing; repeated items count by their id once; repeated rows are judged each. With an empty
     benchmark nothing is hit. Other columns are not read, whatever their names.
     """
-    index = build_index(docs, benchmark, window, id_col, text_col, row=row)
+    index = build_index(docs, benchmark, window, id_col, text_col)
     with scratch_scope(docs.sparkSession):
         found = stored(phrase_matches(index), "matches", keep=True)
     hit = found.select(ROW, F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("pos")).distinct()
@@ -150,7 +143,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that hold an occurrence of a window; columns as they came."""
-    rows = numbered(docs, {f"c_{c}": F.col(f"`{c}`") for c in docs.columns}, "documents")
-    found = contamination(rows, benchmark, window, f"c_{id_col}", f"c_{text_col}", row=F.col(ROW))
-    return rows.join(found.where("contaminated").select(ROW), ROW, "left_anti").select(*[F.col(f"`c_{c}`").alias(c) for c in docs.columns])
+    """docs without the rows that hold an occurrence of a window; columns as they came.
+
+    Texts alone decide, so rows are told by the key of their text: docs is read again and never copied.
+    """
+    key = text_key(F.col(f"`{text_col}`"))
+    with scratch_scope(docs.sparkSession):
+        found = contamination(docs.select(F.struct(*key).alias("key"), F.col(f"`{text_col}`").alias("text")), benchmark, window, "key", "text")
+        gone = stored(found.where("contaminated").select("key.*").distinct(), "contaminated", keep=True)
+    rows = docs.select(*key, *[F.col(f"`{c}`").alias(f"c_{c}") for c in docs.columns])
+    return rows.join(sent(gone), ["_k1", "_k2"], "left_anti").select(*[F.col(f"`c_{c}`").alias(c) for c in docs.columns])

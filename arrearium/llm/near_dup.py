@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arrearium.llm.common import ROW, connected_components, in_blocks, numbered, slices, stars
+from arrearium.llm.common import ROW, connected_components, in_blocks, numbered, sent, slices, stars, text_key
 from arrearium.session import scratch_scope, stored
 
 _WORDS = 5
@@ -263,7 +263,7 @@ def _components(texts: DataFrame, least: float, bands: int, band_rows: int, bloc
 
 
 def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_rows: int = 6, block: int = 1_024,
-                    id_col: str = "doc_id", text_col: str = "text", rows: DataFrame | None = None) -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each row of docs: the id column, class_id, kept, n_copies, and the row number.
 
     Two texts are linked when equal, or when the weighted Jaccard similarity of their five-word shingles (weight: how
@@ -278,15 +278,18 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_r
     Null texts are never linked. Empty texts are equal to each other; texts of one to four words are one shingle.
     Repeated rows are copies; a null id sorts last. An empty table gives an empty result. Other columns are not read.
     """
-    if rows is None:
-        rows = numbered(docs, {"id": F.col(f"`{id_col}`"), "text": F.col(f"`{text_col}`")}, "texts")
-    hashed = rows.select(ROW, "id", *[F.when(F.col("text").isNull(), F.lit(None)).otherwise(h).alias(k) for k, h in (
-        ("_k1", F.xxhash64("text")), ("_k2", F.xxhash64(F.concat(F.lit("#"), "text"))))])
-    known = hashed.where("_k1 is not null")
-    first = known.groupBy("_k1", "_k2").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", ROW)).alias("f"), F.count("*").alias("n_copies"))
-    copies = stored(first.select("_k1", "_k2", F.col(f"f.{ROW}").alias("rep"), F.col("f.id").alias("rep_id"), "n_copies"), "copies")
-    texts = rows.join(copies.select(F.col("rep").alias(ROW)), ROW, "left_semi")
+    return _classes(docs, least, bands, band_rows, block, id_col, text_col).drop("_k1", "_k2")
+
+
+def _classes(docs: DataFrame, least: float, bands: int, band_rows: int, block: int, id_col: str, text_col: str) -> DataFrame:
+    """near_duplicates, with the key of each text. Leaves no table behind that holds texts."""
     with scratch_scope(docs.sparkSession):
+        rows = numbered(docs, {"id": F.col(f"`{id_col}`"), "text": F.col(f"`{text_col}`")}, "texts")
+        hashed = stored(rows.select(ROW, "id", *text_key(F.col("text"))), "text-keys", keep=True)
+        known = hashed.where("_k1 is not null")
+        first = known.groupBy("_k1", "_k2").agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", ROW)).alias("f"), F.count("*").alias("n_copies"))
+        copies = stored(first.select("_k1", "_k2", F.col(f"f.{ROW}").alias("rep"), F.col("f.id").alias("rep_id"), "n_copies"), "copies", keep=True)
+        texts = rows.join(copies.select(F.col("rep").alias(ROW)), ROW, "left_semi")
         components = _components(texts, least, bands, band_rows, block)
 
     # Least id of each component over its representatives, each already the least of its copies.
@@ -297,16 +300,26 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, bands: int = 32, band_r
     classed = classed.join(top, "component").select("rep", F.col("t.rep_id").alias("class_id"), F.col("t.rep").alias("class_row"))
     of_copy = copies.join(classed, "rep").select("_k1", "_k2", "n_copies", "class_id", "class_row")
     out = known.join(of_copy, ["_k1", "_k2"]).select(
-        F.col("id").alias(id_col), "class_id", (F.col(ROW) == F.col("class_row")).alias("kept"), "n_copies", ROW)
+        F.col("id").alias(id_col), "class_id", (F.col(ROW) == F.col("class_row")).alias("kept"), "n_copies", ROW, "_k1", "_k2")
     alone = hashed.where("_k1 is null").select(F.col("id").alias(id_col), F.col("id").alias("class_id"), F.lit(True).alias("kept"),
-                                               F.lit(1).cast("long").alias("n_copies"), ROW)
+                                               F.lit(1).cast("long").alias("n_copies"), ROW, "_k1", "_k2")
     return out.unionByName(alone)
 
 
-def keep_one(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that near_duplicates does not keep; columns as they came."""
-    rows = numbered(docs, {f"c_{c}": F.col(f"`{c}`") for c in docs.columns}, "texts")
-    rows = rows.withColumns({"id": F.col(f"`c_{id_col}`"), "text": F.col(f"`c_{text_col}`")})
-    found = near_duplicates(docs, least, id_col=id_col, text_col=text_col, rows=rows)
-    gone = found.where("not kept").select(ROW)
-    return rows.join(gone, ROW, "left_anti").select(*[F.col(f"`c_{c}`").alias(c) for c in docs.columns])
+def keep_one(docs: DataFrame, least: float = 0.8, bands: int = 32, band_rows: int = 6, block: int = 1_024,
+             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the rows that near_duplicates does not keep; columns as they came.
+
+    Rows are told by id and text, so docs is read again and never copied. Of rows that repeat both, any one stays.
+    """
+    with scratch_scope(docs.sparkSession):
+        found = _classes(docs, least, bands, band_rows, block, id_col, text_col).where("_k1 is not null")
+        told = found.groupBy("_k1", "_k2", F.col(f"`{id_col}`").alias("_id")).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+        odd = stored(told.where("not kept or n > 1").select("_k1", "_k2", "_id", "kept"), "not-kept", keep=True)
+    odd = odd.select(*[F.col(c).alias(f"{c}_odd") for c in odd.columns])
+    rows = docs.select(*text_key(F.col(f"`{text_col}`")), F.col(f"`{id_col}`").alias("_id"), *[F.col(f"`{c}`").alias(f"c_{c}") for c in docs.columns])
+    same = (F.col("_k1") == F.col("_k1_odd")) & (F.col("_k2") == F.col("_k2_odd")) & F.col("_id").eqNullSafe(F.col("_id_odd"))
+    out = [F.col(f"`c_{c}`").alias(c) for c in docs.columns]
+    alone = rows.join(sent(odd), same, "left_anti").select(*out)
+    repeated = rows.join(sent(odd.where("kept_odd")), same, "left_semi").groupBy("_k1", "_k2", "_id").agg(F.first(F.struct(*out)).alias("one"))
+    return alone.unionByName(repeated.select("one.*"))

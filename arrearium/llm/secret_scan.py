@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arrearium.llm.common import ROW, numbered
-from arrearium.session import stored
+from arrearium.llm.common import ROW, sent, text_key
+from arrearium.session import scratch_scope, stored
 
 # Kinds of base spans in the order in which they are listed, with their patterns.
 KINDS = ["assign", "access", "hex"]
@@ -84,7 +84,7 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None,
-         most_owners: int = 1, most_repositories: int = 3, rows: DataFrame | None = None) -> DataFrame:
+         most_owners: int = 1, most_repositories: int = 3) -> DataFrame:
     """A row for each document: id, row number and spans: structs (start, end, kind, verdict, owners, repositories).
 
     Spans of the known patterns are always reported. Their verdict is 'live' where the string belongs to at most
@@ -94,13 +94,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     repository; empty tables give empty results; other columns are not read.
     """
     repository = F.col(f"`{repository_col or id_col}`").cast("string")
-    if rows is None:
-        rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{owner_col}`").cast("string").alias("owner"),
-                           repository.alias("repository"), F.col(f"`{text_col}`").alias("text"))
-        number = F.monotonically_increasing_id()
-    else:
-        number = F.col(ROW)
-    seen = candidates(rows, "text").select(number.alias(ROW), "id", "owner", "repository", F.concat("base", "other").alias("c"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{owner_col}`").cast("string").alias("owner"),
+                       repository.alias("repository"), F.col(f"`{text_col}`").alias("text"))
+    seen = candidates(rows, "text").select(F.monotonically_increasing_id().alias(ROW), "id", "owner", "repository", F.concat("base", "other").alias("c"))
     seen = stored(seen, "candidates")
     each = stored(seen.where("size(c) > 0").select(ROW, "owner", "repository", F.explode("c").alias("s")).select(ROW, "owner", "repository", "s.*"), "found")
     known = each.join(stored(ownership(each), "owners"), "hash", "left").select(
@@ -123,12 +119,15 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
            length_col: str | None = "n_chars") -> DataFrame:
     """docs with every reported span replaced by the mark; overlapping spans become one mark; columns as they came.
 
-    Texts without spans, nulls included, stay as they are; length_col, if docs has it, is the length of changed texts.
+    What a text holds and the whole corpus decide, so rows are told by the key of their text: docs is read again and
+    never copied. Texts without spans, nulls included, stay as they are; length_col, if docs has it, is the length of changed texts.
     """
-    rows = numbered(docs, {f"c_{c}": F.col(f"`{c}`") for c in docs.columns}, "documents")
-    slim = rows.select(ROW, F.col(f"`c_{id_col}`").alias("id"), F.col(f"`c_{owner_col}`").cast("string").alias("owner"),
-                       F.col(f"`c_{id_col}`").cast("string").alias("repository"), F.col(f"`c_{text_col}`").alias("text"))
-    spans = stored(scan(docs, id_col, text_col, owner_col, rows=slim).where("size(spans) > 0").select(ROW, "spans"), "spans")
+    key = text_key(F.col(f"`{text_col}`"))
+    told = docs.select(F.struct(*key).alias("key"), F.col(f"`{id_col}`").alias("repository"), F.col(f"`{owner_col}`").alias("owner"),
+                       F.col(f"`{text_col}`").alias("text"))
+    with scratch_scope(docs.sparkSession):
+        found = scan(told, "key", "text", "owner", "repository").where("size(spans) > 0")
+        spans = stored(found.groupBy("key").agg(F.first("spans").alias("_spans")).select("key.*", "_spans"), "spans", keep=True)
     text, out = F.col(f"`c_{text_col}`"), F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("done"))
 
     def step(state: Column, s: Column) -> Column:
@@ -137,12 +136,11 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owne
         return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(fresh, F.concat(state["done"], between, F.lit(mark))).otherwise(
             state["done"]).alias("done"))
 
-    changed = rows.join(spans, ROW).withColumn("_s", F.aggregate("spans", out, step))
-    new = F.concat(F.col("_s.done"), F.substring(text, (F.col("_s.at") + 1).cast("int"), F.lit(1 << 30)))
-    columns = {f"c_{c}": F.col(f"`c_{c}`") for c in docs.columns}
-    changed = changed.withColumn("_new", new)
-    columns[f"c_{text_col}"] = F.col("_new")
+    rows = docs.select(*key, *[F.col(f"`{c}`").alias(f"c_{c}") for c in docs.columns]).join(sent(spans, 100_000), ["_k1", "_k2"], "left")
+    done = rows.withColumn("_s", F.when(F.col("_spans").isNotNull(), F.aggregate("_spans", out, step)))
+    done = done.withColumn("_new", F.concat(F.col("_s.done"), F.substring(text, (F.col("_s.at") + 1).cast("int"), F.lit(1 << 30))))
+    columns = {c: F.col(f"`c_{c}`") for c in docs.columns}
+    columns[text_col] = F.coalesce("_new", text)
     if length_col in docs.columns:
-        columns[f"c_{length_col}"] = F.length("_new").cast(docs.schema[length_col].dataType)
-    same = rows.join(spans.select(ROW), ROW, "left_anti").select(*[F.col(f"`c_{c}`").alias(c) for c in docs.columns])
-    return same.unionByName(changed.select(*[columns[f"c_{c}"].alias(c) for c in docs.columns]))
+        columns[length_col] = F.coalesce(F.length("_new").cast(docs.schema[length_col].dataType), columns[length_col])
+    return done.select(*[v.alias(c) for c, v in columns.items()])
