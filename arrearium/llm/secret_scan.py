@@ -84,11 +84,12 @@ def ownership(found: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str | None = None,
-         most_owners: int = 1, most_repositories: int = 3) -> DataFrame:
+         most_owners: int = 1, most_repositories: int | None = None) -> DataFrame:
     """A row for each document: id, row number and spans: structs (start, end, kind, verdict, owners, repositories).
 
     Spans of the known patterns are always reported. Their verdict is 'live' where the string belongs to at most
-    most_owners owners and most_repositories repositories, else 'example': a string that many share is documentation.
+    most_owners owners, else 'example': a string that many share is documentation. In how many of its owners' repositories
+    it stands does not matter, as copies and reused keys are live too; only most_repositories, if given, sets a limit.
     A string of no known form is added, as kind 'owned', only where it is live in that sense and not null-owned.
     Without a repository column each document is a repository of its own. Null text is empty; repeated rows are one
     repository; empty tables give empty results; other columns are not read.
@@ -101,7 +102,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     each = stored(seen.where("size(c) > 0").select(ROW, "owner", "repository", F.explode("c").alias("s")).select(ROW, "owner", "repository", "s.*"), "found")
     known = each.join(stored(ownership(each), "owners"), "hash", "left").select(
         ROW, "start", "rank", "end", "kind", F.coalesce("owners", F.lit(0)).alias("owners"), F.coalesce("repositories", F.lit(0)).alias("repositories"))
-    live = (F.col("owners").between(1, most_owners)) & (F.col("repositories") <= most_repositories)
+    live = F.col("owners").between(1, most_owners)
+    if most_repositories is not None:
+        live = live & (F.col("repositories") <= most_repositories)
     judged = known.withColumn("verdict", F.when(live, "live").otherwise("example")).where((F.col("kind") != "owned") | live)
     # One document's spans: as many as its text holds.
     lists = judged.groupBy(ROW).agg(F.array_sort(F.collect_list(F.struct(

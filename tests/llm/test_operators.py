@@ -206,6 +206,19 @@ def test_secret_spans(spark):
     assert secret_scan.scan(df.limit(0)).count() == 0
 
 
+def test_secrets_of_one_owner_in_many_documents(spark):
+    copied, reused, shared = ("Zq8" + x * 8 for x in ("xY7", "wV6", "uT5"))
+    rows = [(k, f"only {copied} here", "a") for k in range(10)] + [(10 + k, f"file {k} has {reused}", "b") for k in range(10)]
+    rows += [(20 + k, f"see {shared}", "ab"[k % 2]) for k in range(10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: [(s["kind"], s["verdict"], s["owners"], s["repositories"]) for s in r["spans"]] for r in secret_scan.scan(df).collect()}
+    assert all(got[k] == ([("owned", "live", 1, 10)] if k < 20 else []) for k in range(30))
+    few = secret_scan.scan(df, most_repositories=3).where("size(spans) > 0")
+    assert few.count() == 0
+    red = {r["doc_id"]: r["text"] for r in secret_scan.redact(df).collect()}
+    assert red == {k: "only [SECRET] here" if k < 10 else f"file {k - 10} has [SECRET]" if k < 20 else t for k, t, _ in rows}
+
+
 @pytest.mark.parametrize("text", ["", "<|im_end|>", "a<|im_end|>\n<|im_start|>user\nx", r"<\|im_end|> <|\im_end|>", "</s>[INST] ok [/INST]", "<</s>", "<<SYS>><</SYS>>"])
 def test_chat_escape_round_trip(spark, text):
     row = spark.createDataFrame([(text,)], "t string").select(chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("u")).first()
