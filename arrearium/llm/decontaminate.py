@@ -100,22 +100,41 @@ def phrase_matches(index: Index) -> DataFrame:
 def proximity_matches(index: Index, terms: list[str], within: int) -> DataFrame:
     """Places where all terms (distinct words) lie within a span of that many words: row, start, end (inclusive).
 
-    Each occurrence of the rarest term is a candidate; the other lists, rarest first, must have a posting near enough.
-    One row is returned for each occurrence of the rarest term that is part of such a span: the narrowest span found by
-    taking from each list the posting nearest to it.
+    One row is returned for each occurrence of the rarest term that is part of such a span: the narrowest span that holds
+    it, of equal ones the first. A span's left end is the rarest term's own place or a posting before it; given the left
+    end, each other list takes its first posting from there on. So each list, rarest first, is looked up around the
+    candidates (fewer than `within` places on either side), and those that lack a term drop out before the next list.
+    The index holds no words but the benchmark's: any other term is an error, as the training texts may hold it.
     """
+    if within < 1 or not terms:
+        raise ValueError("at least one term and a span of at least one word are needed")
     wanted = index.terms.where(F.col("word").isin(terms)).orderBy("freq", "term").collect()
-    if len(wanted) < len(set(terms)) or not wanted:
-        return index.postings.limit(0).select(ROW, F.col("pos").alias("start"), F.col("pos").alias("end"))
-    base = index.postings.where(F.col("term") == wanted[0]["term"]).select(ROW, F.col("pos").alias("p"), F.col("pos").alias("lo"), F.col("pos").alias("hi"))
-    for w in wanted[1:]:
+    unknown = sorted(set(terms) - {w["word"] for w in wanted})
+    if unknown:
+        raise ValueError(f"not indexed, as no benchmark item holds them: {unknown}")
+    base = index.postings.where(F.col("term") == wanted[0]["term"]).select(ROW, F.col("pos").alias("p"))
+    lists = []
+    for k, w in enumerate(wanted[1:]):
         # A posting is near only if it lies in the same or a neighbouring stretch of `within` words.
         other = index.postings.where(F.col("term") == w["term"]).select(ROW, F.col("pos").alias("q"), F.explode(
             F.array(*[F.floor(F.col("pos") / within) + d for d in (-1, 0, 1)])).alias("_s"))
         met = base.withColumn("_s", F.floor(F.col("p") / within)).join(other, [ROW, "_s"]).where(F.abs(F.col("p") - F.col("q")) < within)
-        base = met.groupBy(ROW, "p", "lo", "hi").agg(F.min(F.struct(F.abs(F.col("p") - F.col("q")).alias("d"), "q")).alias("m")).select(
-            ROW, "p", F.least("lo", "m.q").alias("lo"), F.greatest("hi", "m.q").alias("hi")).where(F.col("hi") - F.col("lo") < within)
-    return base.select(ROW, F.col("lo").alias("start"), F.col("hi").alias("end"))
+        # At most 2 * within - 1 places, as a place holds one word.
+        base = met.groupBy(ROW, "p", *lists).agg(F.array_sort(F.collect_set("q")).alias(f"q{k}"))
+        lists.append(f"q{k}")
+
+    def span(start: Column) -> Column:
+        """The span from start on that reaches p and one posting of each list; no end if a list has none."""
+        ends = [F.array_min(F.filter(F.col(q), lambda x: x >= start)) for q in lists]
+        has_all = F.lit(True)
+        for e in ends:
+            has_all = has_all & e.isNotNull()
+        end = F.greatest(F.col("p"), *ends) if ends else F.col("p")
+        return F.struct((end - start).alias("d"), start.alias("start"), F.when(has_all, end).alias("end"))
+
+    starts = F.filter(F.concat(F.array("p"), *lists), lambda x: x <= F.col("p"))
+    spans = F.filter(F.transform(starts, span), lambda s: s["end"].isNotNull() & (s["d"] < within))
+    return base.withColumn("_m", F.array_min(spans)).where("_m is not null").select(ROW, "_m.start", "_m.end")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

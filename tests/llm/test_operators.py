@@ -174,6 +174,29 @@ def test_proximity(spark):
     assert {(r["id"], r["start"], r["end"]) for r in near.collect()} == {(1, 0, 3), (3, 0, 1)}
 
 
+def test_proximity_of_more_terms_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    texts = ["x x x x x x x x x b a x b c"] + [" ".join(rng.choice(list("abcdx"), rng.integers(1, 40), p=[.1, .2, .2, .2, .3])) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    index = decontaminate.build_index(docs, spark.createDataFrame([(1, "a b c d")], "item_id long, text string"))
+    ids = index.postings.select(ROW, "id").distinct()
+    freq = {r["word"]: (r["freq"], r["term"]) for r in index.terms.collect()}
+    for terms, within in ((["a"], 1), (["a", "b"], 3), (["a", "b", "c"], 4), (["d", "c", "b", "a"], 6)):
+        want, rarest = Counter(), min(terms, key=freq.get)
+        for k, t in enumerate(texts):
+            words = t.split()
+            spans = [(j - i, i, j) for i in range(len(words)) for j in range(i, min(i + within, len(words))) if set(terms) <= set(words[i:j + 1])]
+            for p in (p for p, w in enumerate(words) if w == rarest):
+                best = min((s for s in spans if s[1] <= p <= s[2]), default=None)
+                want.update([(k, *best[1:])] if best else [])
+        near = decontaminate.proximity_matches(index, terms, within).join(ids, ROW)
+        assert want and Counter((r["id"], r["start"], r["end"]) for r in near.collect()) == want
+    one = decontaminate.proximity_matches(index, ["a", "b", "c"], 4).join(ids, ROW).where("id = 0").first()
+    assert (one["start"], one["end"]) == (10, 13)
+    with pytest.raises(ValueError, match="x"):
+        decontaminate.proximity_matches(index, ["a", "x"], 4)
+
+
 def test_language(spark, sf_dir):
     out = queries.op6_language_id(spark, sf_dir).join(table(spark, sf_dir, "documents"), "doc_id").where("held_out and lang_pred <> 'und'")
     n = out.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.min("score"), F.max("score")).first()
