@@ -10,10 +10,12 @@ from catalog.registry import query
 
 
 def event_stream(i, *kinds):
-    """The events file as a stream; file-source timestamps come without a zone and mean UTC."""
+    """The events file as a stream, of the given types or else of all; file-source timestamps come without a zone and mean UTC."""
     schema = i.base("events").schema
     stream = i.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(i.sf_dir)
-    return stream.where(F.col("event_type").isin(*kinds)).select(
+    if kinds:
+        stream = stream.where(F.col("event_type").isin(*kinds))
+    return stream.select(
         "event_id", F.col("user_id").alias("account_id"), F.col("ts").cast("timestamp").alias("ts"), "event_type")
 
 
@@ -69,7 +71,7 @@ SELECT account_id, event_id, event_type FROM (SELECT user_id AS account_id, even
 def daily_ingest(i):
     """Latest event per account after ingesting the event stream."""
     path = scratch_path(i.spark, "ingest")
-    stream = event_stream(i, "click", "view", "purchase", "error", "signup").withColumn("at", F.struct("ts", "event_id"))
+    stream = event_stream(i).withColumn("at", F.struct("ts", "event_id"))
     late = lambda df: df.where(F.col("event_type") == "error").groupBy("account_id").agg(F.count("*").alias("n_errors"))
     ingest.daily_ingest(stream, path, late).awaitTermination()
     return ingest.latest_rows(i.spark, path, "account_id", "at").select("account_id", "event_id", "event_type")

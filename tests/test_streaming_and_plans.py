@@ -9,6 +9,7 @@ from arrearium.operators import evaluate, policy, reports
 from arrearium.operators import stats
 from arrearium.plans.master import filter_delinquent
 from arrearium.streaming import alerts, ingest
+from catalog.all_queries import QUERIES
 from catalog.registry import Inputs
 
 
@@ -74,6 +75,18 @@ def test_ingest_keeps_the_latest_row_and_repeats_safely(spark, tmp_path):
     assert {r["loan_id"] for r in spark.read.parquet(f"{out}/alerts").collect()} == {1, 2}
 
 
+def test_daily_ingest_reads_every_event_type(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    day = lambda d: dt.datetime(2024, 1, d)
+    rows = [(1, 1, day(1), "click"), (2, 1, day(2), "chat"), (3, 2, day(1), None), (4, 3, day(3), "error"), (5, 3, day(2), None)]
+    names = ["event_id", "user_id", "ts", "event_type"]
+    pq.write_table(pa.table({n: list(c) for n, c in zip(names, zip(*rows))}), f"{tmp_path}/events.parquet")
+    got = {r["account_id"]: (r["event_id"], r["event_type"]) for r in QUERIES["daily_ingest"](spark, str(tmp_path)).collect()}
+    assert got == {1: (2, "chat"), 2: (3, None), 3: (4, "error")}
+
+
 # --- plans -------------------------------------------------------------------------------------
 
 def plan(df) -> str:
