@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -169,3 +170,13 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
         return pd.DataFrame({"lang": lang, "score": score, "ambiguous": doubt})
 
     return decide(F.col(f"`{text_col}`"))
+
+
+def lettered(text_col: str = "text") -> Column:
+    """Whether a text has letters, as identify sees it; it needs no model. Null texts have none."""
+
+    @pandas_udf("boolean")
+    def some(texts: pd.Series) -> pd.Series:
+        return texts.map(has_letters).astype(bool)
+
+    return some(F.col(f"`{text_col}`"))

@@ -10,9 +10,15 @@ from arrearium.session import stored
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects what has no language (null text, or no letters). A flagged ambiguity alone is no ground to reject."""
+    """Rejects what has no language (null text, or no letters). A flagged ambiguity alone is no ground to reject.
+
+    Where no language was learned, as no row outside the held-out quarter is labelled, letters alone decide. A score of 0
+    says that a text has no letters; the label 'und' does not, as the corpus may use it too.
+    """
     model = language.train(docs.where(~held_out("doc_id")))
-    return docs.where(language.identify(docs, model)["lang"] != language.UNKNOWN)
+    if not model.languages:
+        return docs.where(language.lettered())
+    return docs.where(language.identify(docs, model)["score"] > 0)
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

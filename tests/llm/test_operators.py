@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arrearium.llm import chat, decontaminate, language, near_dup, packing, quality, queries, secret_scan, sharding, url_filter, vector_dup
-from arrearium.llm.common import ROW, table
+from arrearium.llm.common import ROW, held_out, table
 
 LONG = "lorem ipsum, dolor " * 4_000
 DOCS = [(1, "one two three four five six seven"), (1, "one two three four five six seven"), (2, None), (3, ""), (None, "a b"), (4, LONG),
@@ -311,3 +311,22 @@ def test_pipeline_against_plain_steps(spark, sf_dir):
     pieces = corpus_pipeline.run(spark, sf_dir).collect()
     assert {p["doc_id"] for p in pieces} == set(kept) - dirty
     assert sum(p["length"] for p in pieces) == sum({p["doc_id"]: p["doc_tokens"] for p in pieces}.values())
+
+
+def test_pipeline_without_learned_language(spark, tmp_path):
+    import corpus_pipeline
+
+    texts = {1: "alpha beta gamma", 2: None, 3: "12 + 34", 4: "", 5: "omega psi chi phi", 6: "жук и жаба", 7: "one of the items here"}
+    schema = "doc_id long, text string, lang string, source string, n_chars int"
+
+    def of(lang):
+        return spark.createDataFrame([(k, t, lang(k), "s", len(t or "")) for k, t in texts.items()], schema)
+
+    held = {r["doc_id"] for r in of(lambda k: None).where(held_out("doc_id")).collect()}
+    assert held & {1, 5, 6, 7}
+    for lang in (lambda k: None, lambda k: "en" if k in held else None, lambda k: "und", lambda k: "en" if k % 2 else "und"):
+        kept = corpus_pipeline.language_id(spark, of(lang), "")
+        assert kept.columns == of(lang).columns and {r["doc_id"] for r in kept.collect()} == {1, 5, 6, 7}
+    of(lambda k: None).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "one of the items here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert {p["doc_id"] for p in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {1, 5, 6}
