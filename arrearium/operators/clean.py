@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,6 +113,21 @@ def cap_outliers_by_group(df: DataFrame, column: str, by: Sequence[str], k_lo: f
             .select(*[capped.alias(c) if c == column else F.col(c) for c in df.columns]))
 
 
+def distinct_beyond(df: DataFrame, column: str, limit: int) -> Column:
+    """Aggregate: how many distinct values a numeric column has, exact up to limit + 1, and more than limit beyond.
+
+    A theta sketch keeps the 64-bit hash of every value while there are no more than its nominal entries, so few values
+    are counted and not estimated; its size is bounded. Beyond, the estimate is far above the limit.
+    """
+    kind = df.schema[column].dataType
+    value = F.col(f"`{column}`")
+    if isinstance(kind, T.DecimalType):
+        value = value.cast("string")
+    else:
+        value = value.cast("double" if isinstance(kind, T.FractionalType) else "long")
+    return F.theta_sketch_estimate(F.theta_sketch_agg(value, max(12, (2 * limit + 1).bit_length())))
+
+
 def cap_outliers_global(df: DataFrame, columns: Sequence[str] | None = None, k: float = 2.5,
                         min_distinct: int = 10, skip_zero_iqr: bool = True,
                         exclude: Sequence[str] = (), method: str = "exact", now: bool = False) -> DataFrame:
@@ -125,8 +140,7 @@ def cap_outliers_global(df: DataFrame, columns: Sequence[str] | None = None, k:
     if not columns:
         return df
     q = wide_quantiles(quantiles(df, columns, [0.25, 0.75], method=method), columns, ["q25", "q75"])
-    # For so few values the sketch is exact in practice: it uses linear counting there.
-    many = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns])
+    many = df.agg(*[distinct_beyond(df, c, min_distinct).alias(c) for c in columns])
     out = {}
     for c in columns:
         q25, q75 = F.col(f"_q.{c}__q25"), F.col(f"_q.{c}__q75")

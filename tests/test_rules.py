@@ -224,3 +224,22 @@ def test_numbers_that_do_not_fit_become_the_default(spark):
 
     df = spark.createDataFrame([("inf",), ("9999999999",), ("12",), ("x",), (None,)], "overdue_days string")
     assert [r[0] for r in coerce_numeric(df, {"overdue_days": 0}).collect()] == [0, 0, 12, 0, 0]
+
+
+def test_cap_counts_few_distinct_values_exactly(spark):
+    from pyspark.sql import functions as F
+
+    from arrearium.operators import clean
+
+    # Ten near values and one far; some such eleven meet in a register of the approximate count.
+    both = F.explode(F.concat(F.sequence(F.col("id") * 10, F.col("id") * 10 + 9), F.array(F.col("id") + 10**6))).alias("v")
+    groups = spark.range(3_000).select("id", both)
+    unlucky = groups.groupBy("id").agg(F.approx_count_distinct("v", 0.01).alias("n")).where("n = 10").agg(F.min("id")).first()[0]
+    rows = groups.where(F.col("id") == unlucky).select("v", F.col("v").cast("decimal(20,2)").alias("d"), F.lit(1.5).alias("one"))
+    capped = clean.cap_outliers_global(rows)
+    assert capped.agg(F.max("v"), F.max("d"), F.max("one")).first()[:] == (unlucky * 10 + 20.0, unlucky * 10 + 20.0, 1.5)
+    ten = clean.cap_outliers_global(rows.where(F.col("v") != unlucky * 10))
+    assert ten.agg(F.max("v")).first()[0] == unlucky + 10**6
+    counts = spark.range(20_000).select((F.col("id") % 11).cast("int").alias("a"), "id", (F.col("id") % 10 / 7).alias("f"), F.lit(None).cast("int").alias("z"))
+    n = counts.agg(*[clean.distinct_beyond(counts, c, 10).alias(c) for c in counts.columns]).first()
+    assert (n["a"], n["f"], n["z"]) == (11, 10, 0) and n["id"] > 10_000
