@@ -67,6 +67,13 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.joined(F.col("spans")).alias("spans"))
 
 
+def op7_secret_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each secret: its verdict, and in how many sources and documents of the corpus the string stands."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.explode("spans").alias("s")).select(
+        "doc_id", *[f"s.{c}" for c in ("kind", "start", "end", "verdict", "owners", "repositories")])
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -94,8 +101,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op2_url_filter, op3_sharding, op4_minhash, op5_decontamination, op6_language_id, op7_secret_scan, op8_chat_format,
-    op9_vector_dup, op10_quality)}
+    op1_packing, op2_url_filter, op3_sharding, op4_minhash, op5_decontamination, op6_language_id, op7_secret_scan, op7_secret_verdicts,
+    op8_chat_format, op9_vector_dup, op10_quality)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
@@ -162,3 +169,9 @@ n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n.n, 0)::bigint AS n_links, c AS component_id, vec_id = c AS kept
 FROM v JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id""",
 }
+
+# The same spans and counts as in the statement above it; owners alone decide.
+ORACLES["op7_secret_verdicts"] = ORACLES["op7_secret_scan"].split("fin AS (")[0].rstrip().rstrip(",") + """
+SELECT doc_id, kind, s::bigint AS "start", (s + length(b.m))::bigint AS "end", CASE WHEN o = 1 THEN 'live' ELSE 'example' END AS verdict,
+  o::bigint AS owners, own.r::bigint AS repositories
+FROM both_ b JOIN own USING (m) WHERE kind <> 'owned' OR o = 1"""

@@ -242,6 +242,25 @@ def test_secrets_of_one_owner_in_many_documents(spark):
     assert red == {k: "only [SECRET] here" if k < 10 else f"file {k - 10} has [SECRET]" if k < 20 else t for k, t, _ in rows}
 
 
+def test_secret_verdicts_against_plain_counts(spark, tmp_path):
+    strings = ["AKIA" + "A1" * 8, "AKIA" + "B2" * 8, "deadbeef" * 4, "Zq8" + "xY7" * 8, "Zq8" + "wV6" * 8, "Zq8" + "uT5" * 8]
+    owner = {k: None if k == 29 else f"s{k % 3}" for k in range(30)}
+    where = [{0, 3, 6, 9, 12}, {0, 1, 29}, {2, 29}, {1, 4, 7, 10, 13}, {3, 4}, {29}]
+    held = {k: [s for s, w in zip(strings, where) if k in w] for k in owner}
+    rows = [(k, " | ".join(v), owner[k]) for k, v in held.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = Counter()
+    for k, text, _ in rows:
+        for s in held[k]:
+            docs = [d for d in held if s in held[d]]
+            owners = len({owner[d] for d in docs} - {None})
+            kind = "access" if s[0] == "A" else "hex" if s[0] == "d" else "owned"
+            if kind != "owned" or owners == 1:
+                want[(k, kind, text.index(s), text.index(s) + len(s), "live" if owners == 1 else "example", owners, len(docs))] += 1
+    assert {x[4] for x in want} == {"live", "example"} and any(x[1] == "owned" for x in want)
+    assert Counter(tuple(r) for r in queries.op7_secret_verdicts(spark, str(tmp_path)).collect()) == want
+
+
 @pytest.mark.parametrize("text", ["", "<|im_end|>", "a<|im_end|>\n<|im_start|>user\nx", r"<\|im_end|> <|\im_end|>", "</s>[INST] ok [/INST]", "<</s>", "<<SYS>><</SYS>>"])
 def test_chat_escape_round_trip(spark, text):
     row = spark.createDataFrame([(text,)], "t string").select(chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("u")).first()
