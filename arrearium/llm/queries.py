@@ -1,12 +1,12 @@
-"""The ten operators as queries over whole tables, and their DuckDB statements where SQL can say it."""
+"""The operators as queries over whole tables, and their DuckDB statements where SQL can say it."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrearium.llm import (chat, decontaminate, language, near_dup, packing, quality, secret_scan, sharding, url_filter,
-                           vector_dup)
+from arrearium.llm import (chat, decontaminate, language, near_dup, negatives, packing, phrases, quality, secret_scan, sharding, topk,
+                           url_filter, vector_dup)
 from arrearium.llm.common import ROW, held_out, table
 
 SEQUENCE_TOKENS = 1024
@@ -100,9 +100,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best rows for every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).drop(ROW)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the label of every seventh is shifted by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_url_filter, op3_sharding, op4_minhash, op5_decontamination, op6_language_id, op7_secret_scan, op7_secret_verdicts,
-    op8_chat_format, op9_vector_dup, op10_quality)}
+    op8_chat_format, op9_vector_dup, op10_quality, op11_phrases, op12_topk, op13_hard_negatives)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
@@ -143,7 +160,7 @@ free AS (SELECT * FROM more WHERE regexp_matches(m, '[0-9]') AND regexp_matches(
 both_ AS (SELECT * FROM kept UNION ALL SELECT * FROM free),
 own AS (SELECT m, count(DISTINCT source) AS o, count(DISTINCT doc_id) AS r FROM both_ GROUP BY m),
 fin AS (SELECT b.*, kind || ':' || s::bigint || ':' || (s + length(b.m))::bigint AS x FROM both_ b JOIN own USING (m)
-  WHERE kind <> 'owned' OR (o = 1 AND own.r <= 3)),
+  WHERE kind <> 'owned' OR o = 1),
 agg AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c, count(*) FILTER (kind = 'hex') AS h,
   string_agg(x, ',' ORDER BY s, r) FILTER (kind <> 'owned') AS bs, string_agg(x, ',' ORDER BY s, r) AS al FROM fin GROUP BY doc_id)
 SELECT doc_id, coalesce(a, 0)::bigint AS n_assign, coalesce(c, 0)::bigint AS n_access, coalesce(h, 0)::bigint AS n_hex,
@@ -170,6 +187,44 @@ SELECT vec_id, coalesce(n.n, 0)::bigint AS n_links, c AS component_id, vec_id =
 FROM v JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id""",
 }
 
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * x::double))"
+
+ORACLES["op11_phrases"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM p),
+g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::bigint AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 30),
+cut AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+sc AS (SELECT cut.lang, cut.phrase, a, k, l.f AS l, r.f AS r, (2000000::hugeint * a // (l.f + r.f))::bigint AS score FROM cut
+  JOIN f l ON l.lang = cut.lang AND l.phrase = array_to_string(w[1:k], ' ') JOIN f r ON r.lang = cut.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+low AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+sub AS (SELECT lang, a, s, unnest(list_transform(range(1, m - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))) AS phrase
+  FROM c, (SELECT unnest([2, 3]) AS s) WHERE s < m),
+cover AS (SELECT lang, phrase, max(a) AS longest FROM sub GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM low LEFT JOIN cover USING (lang, phrase) JOIN n USING (lang) WHERE longest IS NULL OR 100 * longest < 80 * a QUALIFY rank <= 2000"""
+
+ORACLES["op12_topk"] = f"""
+WITH v AS (SELECT vec_id, {_WHOLE} AS e FROM embeddings WHERE {_FINITE}),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::int AS rank, vec_id, score FROM s QUALIFY rank <= 5"""
+
+ORACLES["op13_hard_negatives"] = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS e FROM embeddings
+  WHERE label IS NOT NULL AND {_FINITE}),
+s AS (SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, list_dot_product(q.e, c.e)::bigint AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+m AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id))::int AS rank,
+  negative_id, positive_score, negative_score FROM m QUALIFY rank <= 5"""
+
 # The same spans and counts as in the statement above it; owners alone decide.
 ORACLES["op7_secret_verdicts"] = ORACLES["op7_secret_scan"].split("fin AS (")[0].rstrip().rstrip(",") + """
 SELECT doc_id, kind, s::bigint AS "start", (s + length(b.m))::bigint AS "end", CASE WHEN o = 1 THEN 'live' ELSE 'example' END AS verdict,
