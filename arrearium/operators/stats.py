@@ -1,31 +1,34 @@
 """Exact order statistics and running totals that never gather a whole group in one task.
 
-Shared by cleaning, reports and evaluation. The common idea: a cheap first pass with bounded state
-finds where to look, a second pass keeps apart only the rows that matter and counts the rest.
+Shared by cleaning, reports and evaluation. The common idea: a first pass counts in a bounded number of bins
+and so finds where to look; the next reads only the rows that matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from arrearium.session import shared_dir
+from arrearium.session import shared_dir, stored
 
 # A side this long is a few MB: safe to send to every executor.
 BROADCAST_ROWS = 100_000
 
-# Number of tasks that share the merging of one group's quantile sketches.
-SKETCH_LOTS = 32
+# A node of at most so many different values is put in order by one task; a larger one is cut into bins first.
+GATHER = 32_768
+
+# A node is cut into 2^BITS bins, or up to twice as many.
+BITS = 10
 
 
 def stored_and_small(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """Compute a small-looking table once into the shared checkpoint folder and count it."""
     shared_dir(side.sparkSession)
-    stored = side.checkpoint()
-    return stored, stored.count() <= max_rows
+    held = side.checkpoint()
+    return held, held.count() <= max_rows
 
 
 def bounded_side(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -33,8 +36,8 @@ def bounded_side(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
 
     Beyond max_rows there is no hint: the join shuffles, and adaptive execution splits hot keys.
     """
-    stored, small = stored_and_small(side, max_rows)
-    return F.broadcast(stored) if small else stored
+    held, small = stored_and_small(side, max_rows)
+    return F.broadcast(held) if small else held
 
 
 def one_row(stats: DataFrame) -> Column:
@@ -71,9 +74,9 @@ def quantiles(
     Returns one row per (by..., column): n and q, an array in the order of probs. Groups are
     hinted for broadcast where their number was checked.
 
-    method='approx' is one pass of mergeable sketches. 'exact' uses such sketches only to bracket
-    each wanted rank; a second pass counts the values between brackets and keeps the few
-    distinct values inside, so one group never has to fit in one task.
+    method='approx' is one pass of mergeable sketches. 'exact' counts the values in bins of their sortable
+    image and looks again only into the bins that hold a wanted rank, until these hold GATHER rows or a single
+    value: no sketch, and however large a group or frequent a value is, no task orders more than GATHER values.
     """
     by = list(by)
     keys = by + ["column"]
@@ -90,67 +93,91 @@ def quantiles(
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
 
-    # Pass 1: brackets that certainly hold the wanted ranks (a sketch errs by n/accuracy). Rows are
-    # dealt into a few lots at random, so that no single task merges the sketches of all others and sorted data
-    # makes no lot unlike the rest. However rows are split into lots, a quantile of all rows lies between the least and the greatest quantile
-    # of the lots.
-    slack = 3.0 / accuracy
-    ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-slack, slack)]
-    lots = long.groupBy(*keys, F.floor(F.rand(7) * SKETCH_LOTS).alias("lot")).agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("value", F.array(*[F.lit(e) for e in ends]), accuracy).alias("ends"))
-    brackets = lots.groupBy(*keys).agg(F.sum("n").alias("n"), F.array(*[
-        (F.max if k % 2 else F.min)(F.col("ends")[k]) for k in range(len(ends))]).alias("ends"))
-    # Without groups there is one row per listed column; with groups the number is checked.
-    brackets, small = stored_and_small(brackets) if by else (brackets, True)
-    if small:
-        brackets = F.broadcast(brackets)
-
-    # Pass 2: count per (number of brackets wholly below, value kept only when inside a bracket).
-    # A group of few rows is kept whole: there one rank is wider than the bracket.
-    value = F.col("value")
-    few = F.col("n") <= int(4 / slack)
-    lows = [F.col("ends")[2 * i] for i in range(len(probs))]
-    highs = [F.col("ends")[2 * i + 1] for i in range(len(probs))]
-    inside = few
-    below = F.lit(0)
-    for lo, hi in zip(lows, highs):
-        inside = inside | ((value >= lo) & (value <= hi))
-        below = below + (~few & (value > hi)).cast("int")
-    counted = (
-        long.join(brackets, keys)
-        .select(*keys, "n", below.alias("below"), F.when(inside, value).alias("kept"))
-        .groupBy(*keys, "n", "below", "kept")
-        .agg(F.count("*").alias("cnt"))
-    )
-    # Rows between brackets are one counted row each, ordered after the bracket they lie beyond. Ranks are
-    # summed within one bracket at a time; bracket totals, a few rows for each group, give the offsets.
-    level = counted.groupBy(*keys, "below").agg(F.sum("cnt").alias("cnt"))
-    offsets = level.select(*keys, "below", F.coalesce(F.sum("cnt").over(W.partitionBy(*keys).orderBy("below").rowsBetween(
-        W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    within = W.partitionBy(*keys, "below").orderBy(F.col("kept").isNotNull(), F.col("kept")).rowsBetween(
-        W.unboundedPreceding, W.currentRow)
-    running = counted.withColumn("within", F.sum("cnt").over(within)).join(offsets, [*keys, "below"]).withColumn(
-        "upto", F.col("before") + F.col("within"))
-
-    def at_rank(rank: Column) -> Column:
-        # smallest (upto, kept) whose running count passes the 0-based rank
-        return F.min(F.when(F.col("upto") > rank, F.struct("upto", "kept")))
-
-    aggs, picks = [], []
-    for i, p in enumerate(probs):
+    totals, ranked = multi_select(long.select(*keys, sortable(F.col("value")).alias("_at")), keys, probs)
+    small = not by or totals.count() <= BROADCAST_ROWS
+    at = F.map_from_entries(F.collect_list(F.struct("rank", "value")))  # two ranks for each probability at most
+    picks = []
+    for p in probs:
         pos = F.lit(float(p)) * (F.col("n") - 1)
-        aggs += [at_rank(F.floor(pos)).alias(f"lo{i}"), at_rank(F.ceil(pos)).alias(f"hi{i}")]
-        lo, hi = F.col(f"lo{i}.kept"), F.col(f"hi{i}.kept")
-        frac = pos - F.floor(pos)
-        pick = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * frac)
-        picks.append(F.when(lo.isNull() | hi.isNull(), F.raise_error(F.lit("rank outside its bracket"))
-                            ).otherwise(pick))
-    out = (running.groupBy(*keys, "n").agg(*aggs)
-           .select(*keys, "n", F.array(*picks).alias("q")))
+        lo, hi = F.element_at("at", F.floor(pos)), F.element_at("at", F.ceil(pos))
+        picks.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (pos - F.floor(pos))))
+    out = totals.join(ranked.groupBy(*keys).agg(at.alias("at")), keys).select(*keys, "n", F.array(*picks).alias("q"))
     return F.broadcast(out) if small else out
 
 
+def sortable(value: Column) -> Column:
+    """The 64-bit pattern of a double as a whole number of the same order; both zeros are 0, NaN comes last."""
+    size = F.abs(value)
+    near = F.floor(F.log2(size))
+    exponent = near + F.when(size >= F.pow(F.lit(2.0), near + 1), 1).when(size < F.pow(F.lit(2.0), near), -1).otherwise(0)
+    normal = F.shiftleft((exponent + 1023).cast("long"), 52) + ((size / F.pow(F.lit(2.0), exponent) - 1) * 2.0**52).cast("long")
+    pattern = (F.when(F.isnan(size), F.lit(0x7FF8 << 48)).when(size == 0, F.lit(0).cast("long")).when(size == float("inf"), F.lit(0x7FF << 52))
+               .when(size < 2.0**-1022, (size * 2.0**1000 * 2.0**74).cast("long")).otherwise(normal))
+    return F.when(value < 0, -pattern).otherwise(pattern)
+
+
+def from_sortable(at: Column) -> Column:
+    pattern = F.abs(at)
+    exponent, rest = F.shiftright(pattern, 52), pattern.bitwiseAND((1 << 52) - 1).cast("double")
+    value = (F.when(exponent == 0x7FF, F.when(rest == 0, F.lit(float("inf"))).otherwise(F.lit(float("nan")))).when(exponent == 0, rest * 2.0**-1074)
+             .otherwise((rest * 2.0**-52 + 1) * F.pow(F.lit(2.0), exponent - 1023)))
+    return F.when(at < 0, -value).otherwise(value)
+
+
+def _top(rows: DataFrame) -> DataFrame:
+    """All rows in one node, a bin for each sixteenth of an octave."""
+    return rows.withColumns({"_node": F.lit(0).cast("long"), "_bin": F.shiftright("_at", 48)})
+
+
+def _bins(rows: DataFrame, keys: Sequence[str], *sums: Column) -> DataFrame:
+    return rows.groupBy(*keys, "_node", "_bin").agg(F.count("*").alias("n"), F.min("_at").alias("lo"), F.max("_at").alias("hi"), *sums)
+
+
+def _deeper(rows: DataFrame, bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of the given bins. Each bin becomes a node, named by its least value, cut anew between its least and greatest."""
+    span = F.col("hi").cast("double") - F.col("lo").cast("double")
+    shift = F.greatest(F.lit(0), F.ceil(F.log2(span + 1)) - BITS).cast("int")
+    side = bins.select(*keys, "_node", "_bin", F.col("lo").alias("_lo"), shift.alias("_shift")).distinct()
+    return rows.join(bounded_side(side), [*keys, "_node", "_bin"]).withColumns(
+        {"_node": F.col("_lo"), "_bin": F.expr(  # halves first, as the whole span may pass 63 bits
+            "CASE WHEN _shift = 0 THEN _at - _lo ELSE shiftright(shiftright(_at, 1) - shiftright(_lo, 1), _shift - 1) END")}).drop("_lo", "_shift")
+
+
+def multi_select(rows: DataFrame, keys: Sequence[str], probs: Sequence[float], gather: int = GATHER) -> tuple[DataFrame, DataFrame]:
+    """(keys, n), and (keys, rank, value) of every rank from 0 that lies next to one of the probabilities.
+
+    rows are (keys, _at), _at sortable. Each round reads what is left, counts it in bins for all keys and ranks at once, and
+    keeps the bins that hold a rank. A bin's range is a thousandth of its node's, so six rounds are the most.
+    """
+    todo, groups, want, found = _top(rows), list(keys), None, []
+    while True:
+        bins = stored(_bins(todo, groups), "bins")
+        if want is None:
+            totals = bins.groupBy(*groups).agg(F.sum("n").alias("n"))
+            pos = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+            ranks = F.array_distinct(F.array(*[f(p).cast("long") for p in pos for f in (F.floor, F.ceil)]))
+            want = totals.select(*groups, F.explode(ranks).alias("rank"), F.lit(0).cast("long").alias("_node")).withColumn("left", F.col("rank"))
+        before = F.sum("n").over(W.partitionBy(*groups, "_node").orderBy("_bin")) - F.col("n")  # as many rows as bins
+        placed = want.join(bins.withColumn("before", before), [*groups, "_node"]).where(
+            (F.col("before") <= F.col("left")) & (F.col("left") < F.col("before") + F.col("n")))
+        placed = stored(placed.withColumn("left", F.col("left") - F.col("before")), "ranks")
+        found.append(placed.where("lo = hi").select(*groups, "rank", from_sortable(F.col("lo")).alias("value")))
+        bins = placed.where("lo < hi")
+        want = bins.select(*groups, "rank", F.col("lo").alias("_node"), "left")
+        todo = _deeper(todo, bins, groups)
+        if bins.where(F.col("n") > gather).isEmpty():
+            break
+        todo = stored(todo, "left")
+    counts = todo.groupBy(*groups, "_node", "_at").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(W.partitionBy(*groups, "_node").orderBy("_at")) - F.col("n")  # at most `gather` rows
+    last = counts.withColumn("before", before).join(want, [*groups, "_node"]).where(
+        (F.col("before") <= F.col("left")) & (F.col("left") < F.col("before") + F.col("n")))
+    ranked = last.select(*groups, "rank", from_sortable(F.col("_at")).alias("value"))
+    for f in found:
+        ranked = ranked.unionByName(f)
+    return totals, ranked
+
+
 def wide_quantiles(q: DataFrame, columns: Sequence[str], names: Sequence[str]) -> DataFrame:
     """One-row form of global quantiles: <column>__<name> for every column and probability."""
     return q.agg(*[
@@ -158,39 +185,64 @@ def wide_quantiles(q: DataFrame, columns: Sequence[str], names: Sequence[str]) -
         for c in columns for i, name in enumerate(names)])
 
 
-def running_totals(
-    counts: DataFrame, order: str, sums: Sequence[str], descending: bool = True, buckets: int = 256
-) -> DataFrame:
+def leaves(rows: DataFrame, keys: Sequence[str], before: Mapping[str, tuple[Column, str]], descending: bool = False,
+           gather: int = GATHER) -> DataFrame:
+    """Cut the rows (keys, _at, ...) of each key into leaves, pieces of the order of _at, and say what lies before each.
+
+    Adds _leaf, _single (all its rows have one _at) and, for each entry of before, o_<name>: the aggregate over all rows of the
+    keys that come before the leaf, NULL if there are none. An entry is an aggregate of rows and how two of them
+    combine, 'sum' or 'max'. A key of at most `gather` rows is one leaf. A larger one is cut in bins between its least and
+    greatest _at, and these again, so a leaf has more rows only if they share one _at. What lies before a bin is what
+    lies before its node and its neighbours in the node, so no window is longer than a node has bins.
+    """
+    def combine(one: Column, other: Column, how: str) -> Column:
+        return F.greatest(one, other) if how == "max" else F.when(one.isNull() | other.isNull(), F.coalesce(one, other)).otherwise(one + other)
+
+    at = [*keys, "_node", "_bin"]
+    zero = F.lit(0).cast("long")
+    todo = rows.withColumns({"_node": zero, "_bin": zero})
+    crowded = stored(_bins(todo, keys).where(F.col("n") > gather), "large")
+    large = crowded.where("lo < hi")
+    kinds = rows.groupBy(*keys).agg(*[agg.alias(name) for name, (agg, _) in before.items()]).schema
+    nothing = {f"o_{name}": F.lit(None).cast(kinds[name].dataType) for name in before}
+    whole = {"_leaf": zero, "_single": F.lit(False), **nothing}
+    if crowded.isEmpty():
+        return todo.withColumns(whole).drop("_node", "_bin")
+    kept = todo.withColumns(whole).drop("_single").join(bounded_side(crowded.select(*at, (F.col("lo") == F.col("hi")).alias("_single"))), at, "left")
+    done = [kept.where("_single is null or _single").withColumn("_single", F.coalesce("_single", F.lit(False)))]
+    held = large.select(*keys, F.col("lo").alias("_node")).withColumns(nothing)
+    first = F.col("_bin").desc() if descending else F.col("_bin").asc()
+    w = W.partitionBy(*keys, "_node").orderBy(first).rowsBetween(W.unboundedPreceding, -1)
+    while not large.isEmpty():
+        todo = stored(_deeper(todo, large, keys), "left")
+        bins = _bins(todo, keys, *[agg.alias(f"t_{name}") for name, (agg, _) in before.items()]).join(held, [*keys, "_node"])
+        bins = stored(bins.withColumns({f"o_{name}": combine(F.col(f"o_{name}"), (F.max if how == "max" else F.sum)(f"t_{name}").over(w), how)
+                                        for name, (_, how) in before.items()}), "bins")
+        open_ = (F.col("n") > gather) & (F.col("lo") < F.col("hi"))
+        small = bins.where(~open_).select(*at, F.col("lo").alias("_leaf"), (F.col("lo") == F.col("hi")).alias("_single"), *nothing)
+        done.append(todo.join(bounded_side(small), at))
+        large = bins.where(open_)
+        held = large.select(*keys, F.col("lo").alias("_node"), *nothing)
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.drop("_node", "_bin")
+
+
+def running_totals(counts: DataFrame, order: str, sums: Sequence[str], descending: bool = True, gather: int = GATHER) -> DataFrame:
     """Add upto_<s>, the exact sum of s over all rows from the first in order to this one, and
     total_<s>, its sum over all rows.
 
-    counts must hold one row per distinct value of order. Rows are split into buckets at sketched
-    quantiles of those distinct values; bucket totals (at most `buckets` rows) give each bucket its
-    offset, and only within a bucket are rows ordered.
+    counts must hold one row per distinct value of order, a number. The rows are cut into leaves of at most `gather` rows, as
+    many as they need; the sums before a leaf come with it, and only within a leaf are rows ordered.
     """
-    # Totals ride along in the pass for the cuts, so all uses of counts read the same columns and
-    # share its exchange.
-    cuts = counts.agg(F.percentile_approx(
-        order, F.array(*[F.lit(i / buckets) for i in range(1, buckets)]), 4 * buckets).alias("cuts"),
-        *[F.sum(s).alias(f"total_{s}") for s in sums])
-    # Number of cuts below the value, by halving steps: `buckets` must be a power of two.
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(buckets.bit_length() - 1))])
-    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        F.element_at("cuts", at + step) < F.col(order), at + step).otherwise(at))
-    bucket = F.lit(buckets - 1) - below if descending else below
-    placed = (attach(counts, _s=cuts).select(*counts.columns, "_s.*")
-              .withColumn("bucket", bucket).drop("cuts"))
-    before = W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = placed.groupBy("bucket").agg(*[F.sum(s).alias(f"t_{s}") for s in sums])
-    offsets = offsets.select("bucket", *[
-        F.coalesce(F.sum(f"t_{s}").over(before), F.lit(0)).alias(f"o_{s}") for s in sums])
-    first = F.col(order).desc() if descending else F.col(order).asc()
-    within = W.partitionBy("bucket").orderBy(first).rowsBetween(W.unboundedPreceding, W.currentRow)
-    # At most `buckets` rows, each present. The join is an outer one so that no filter on the bucket
-    # is pushed below the counting, where it would run per raw row and undo the exchange reuse.
-    out = placed.join(F.broadcast(offsets), "bucket", "left")
-    return out.select(*counts.columns, *[f"total_{s}" for s in sums], *[
-        (F.col(f"o_{s}") + F.sum(s).over(within)).alias(f"upto_{s}") for s in sums])
+    kept = stored(counts.withColumn("_at", sortable(F.col(order).cast("double"))), "counts")
+    placed = leaves(kept, [], {s: (F.sum(s), "sum") for s in sums}, descending, gather)
+    totals = kept.agg(*[F.sum(s).alias(f"total_{s}") for s in sums])
+    within = W.partitionBy("_leaf").orderBy(F.col("_at").desc() if descending else F.col("_at").asc()).rowsBetween(
+        W.unboundedPreceding, W.currentRow)
+    return attach(placed, _s=totals).select(*counts.columns, *[F.col(f"_s.total_{s}").alias(f"total_{s}") for s in sums], *[
+        (F.coalesce(F.col(f"o_{s}"), F.lit(0)) + F.sum(s).over(within)).alias(f"upto_{s}") for s in sums])
 
 
 def first_share_by_hash(df: DataFrame, key: str, share: float, by: Sequence[str] = (),

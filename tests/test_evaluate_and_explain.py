@@ -145,8 +145,30 @@ def test_tree_contributions_are_shapley_values():
     for _ in range(6):
         trees = [random_tree(rng, 5, 4) for _ in range(2)]
         x = np.round(rng.normal(size=(4, 5)), 0)
-        leaves, base = explain.leaf_paths(trees)
-        got = explain.tree_contributions(x, leaves)
+        base, got = explain.base_value(trees), explain.tree_contributions(x, trees)
         for row, phi in zip(x, got):
             np.testing.assert_allclose(phi, sum(brute_shapley(t, row) for t in trees), atol=1e-12)
             np.testing.assert_allclose(base + phi.sum(), sum(expectation(t, row, set(range(5))) for t in trees))
+
+
+def test_deep_ensembles_stay_additive():
+    """200 trees of depth 12: polynomial in the depth, where patterns of met features would be 4096 for each leaf."""
+    rng = np.random.default_rng(6)
+    trees = []
+    while len(trees) < 200:
+        t = random_tree(rng, 15, 12)
+        if len(t["left"]) > 40:
+            trees.append({**t, "value": t["value"] / 100})
+        if len(trees) > 20:
+            trees += [{**t, "value": rng.normal(size=len(t["value"])) / 100} for t in trees[:20]]
+    trees = trees[:200]
+    x = np.round(rng.normal(size=(16, 15)), 0)
+    phi = explain.tree_contributions(x, trees)
+    want = [sum(expectation(t, row, set(range(15))) for t in trees) for row in x]
+    np.testing.assert_allclose(explain.base_value(trees) + phi.sum(axis=1), want, atol=1e-9)
+
+
+def test_tree_of_one_leaf_gives_nothing():
+    t = {"left": np.array([-1]), "right": np.array([-1]), "cover": np.array([5.0]), "value": np.array([2.5]), "feature": np.array([-1]),
+         "cut": [np.array([])], "nominal": np.array([False])}
+    assert explain.base_value([t]) == 2.5 and not explain.tree_contributions(np.ones((3, 2)), [t]).any()

@@ -162,7 +162,93 @@ def test_windows_with_nulls_and_repeated_ids(spark):
     assert sorted(map(str, got)) == sorted(map(str, plain.collect()))
 
 
-def test_ranks_are_summed_by_bracket(spark):
-    df = spark.range(200_000).selectExpr("id * 1.0 as x")
-    q = stats.quantiles(df, ["x"], [0.1, 0.5, 0.9]).first()["q"]
-    assert q == [19999.9, 99999.5, 179999.1]
+def test_sortable_image_keeps_every_double(spark):
+    rng = np.random.default_rng(4)
+    some = np.concatenate([2.0 ** np.arange(-1074, 1024), np.nextafter(2.0 ** np.arange(-1000, 1024), 0), rng.integers(0, 0x7FF << 52, 3_000).view(np.float64),
+                           [0.0, np.inf, np.finfo(float).max, np.finfo(float).tiny]])
+    some = np.concatenate([some, -some])
+    df = spark.createDataFrame([(float(x),) for x in some], "x double")
+    got = df.select("x", stats.sortable(F.col("x")).alias("at")).withColumn("back", stats.from_sortable(F.col("at"))).toPandas()
+    bits = got["x"].to_numpy().view(np.int64)
+    want = np.where(bits < 0, -(bits & 0x7FFFFFFFFFFFFFFF), bits)
+    assert (got["at"].to_numpy() == want).all() and (got["back"] == got["x"]).all()
+
+
+@pytest.mark.parametrize("kind", ["random", "sorted", "constant", "continuous", "signs"])
+def test_no_task_orders_more_than_a_constant(spark, kind, monkeypatch):
+    """Whatever the size, what is left to be ordered of a node is bounded, and the quantiles are exact."""
+    most = []
+    gather = 500
+    deeper = stats._deeper
+    for n in (2_000, 20_000, 200_000):
+        rng = np.random.default_rng(n)
+        x = {"random": lambda: rng.integers(0, 1_000_000, n).astype(float), "sorted": lambda: np.arange(n) * 1.5, "constant": lambda: np.full(n, 7.25),
+             "continuous": lambda: rng.normal(1e6, 1e-3, n), "signs": lambda: rng.normal(0, 1e3, n)}[kind]()
+        df = spark.createDataFrame(pd.DataFrame({"value": x})).select(F.lit("v").alias("column"), stats.sortable(F.col("value")).alias("_at"))
+        last = []
+        monkeypatch.setattr(stats, "_deeper", lambda *a: last.append(deeper(*a)) or last[-1])
+        _, ranked = stats.multi_select(df, ["column"], PROBS, gather=gather)
+        got = {r["rank"]: r["value"] for r in ranked.collect()}
+        ordered = np.sort(x)
+        assert all(ordered[k] == v for k, v in got.items())
+        assert set(got) == {int(f(p * (n - 1))) for p in PROBS for f in (np.floor, np.ceil)}
+        most.append(max([r["n"] for r in last[-1].groupBy("_node").agg(F.count("*").alias("n")).collect()], default=0))
+    assert max(most) <= gather
+
+
+@pytest.mark.parametrize("gather", [1, 10, 400])
+def test_running_totals_in_leaves(spark, gather):
+    rng = np.random.default_rng(9)
+    x = np.unique(np.concatenate([rng.normal(0, 1, 2_000), rng.uniform(5, 5 + 1e-9, 500), [-1e300, 1e300, 0.0]]))
+    n = rng.integers(1, 9, len(x))
+    df = spark.createDataFrame(pd.DataFrame({"v": x, "n": n}))
+    got = stats.running_totals(df, "v", ["n"], True, gather).toPandas().sort_values("v", ascending=False)
+    assert (got["n"].cumsum() == got["upto_n"]).all() and (got["total_n"] == n.sum()).all() and len(got) == len(x)
+    placed = stats.leaves(df.withColumn("_at", stats.sortable(F.col("v"))), [], {"n": (F.sum("n"), "sum")}, gather=gather)
+    assert placed.groupBy("_leaf").count().agg(F.max("count")).first()[0] <= gather
+
+
+def _plain_windows(df, days):
+    from pyspark.sql import Window as W
+
+    at = F.unix_micros("ts")
+    w = W.partitionBy("account_id").orderBy(at).rangeBetween(-days * 86_400_000_000, 0)
+    lag = F.lag("score").over(W.partitionBy("account_id").orderBy("ts", "event_id"))
+    return {"n": df.withColumn("n", F.count("*").over(w)), "m": df.withColumn("m", F.max("score").over(w)), "p": df.withColumn("p", lag)}
+
+
+@pytest.mark.parametrize("gather", [5, 300, 1_000_000])
+def test_an_account_with_a_third_of_all_events_in_one_day(spark, gather):
+    """Hot accounts, moments and missing times and accounts: the same rows as plain windows, whether the scan is taken or not."""
+    rnd = random.Random(5)
+    start, rows = dt.datetime(2024, 3, 1), []
+    for k in range(3_000):
+        account = 1 if k % 3 == 0 else None if k % 50 == 1 else rnd.randrange(2, 30)
+        at = start + (dt.timedelta(seconds=rnd.randrange(86_400)) if account == 1 else dt.timedelta(hours=rnd.randrange(24 * 200)))
+        if k % 30 == 0:
+            at = start + dt.timedelta(hours=7)  # one moment of many events
+        rows.append((k, account, None if k % 41 == 0 else at, None if k % 17 == 0 else rnd.randrange(500, 700)))
+    rows += [(9_000, 1, start - dt.timedelta(days=7), 999), (9_001, 1, start + dt.timedelta(days=91), 1), (9_002, None, None, 3)]
+    df = spark.createDataFrame(rows, "event_id long, account_id long, ts timestamp, score int")
+    for days in (7, 90):
+        plain = _plain_windows(df, days)
+        got = {"n": windows.rolling_count(df, "account_id", "ts", days, "n", gather=gather),
+               "m": windows.rolling_max(df, "account_id", "ts", "score", days, "m", gather=gather)}
+        for name, want in plain.items():
+            if name in got:
+                assert sorted(map(str, got[name].collect())) == sorted(map(str, want.collect())), (name, days)
+    got = windows.previous_value(df, "account_id", "ts", "score", "event_id", "p", gather=gather)
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain["p"].collect()))
+
+
+def test_hot_accounts_are_spread(spark):
+    """Moments of an account within one second are cut into leaves of a bounded number of rows."""
+    events = spark.range(20_000).select((F.col("id") % 2).alias("_k"), (F.col("id") * 50).alias("_at"))
+    cut = stats.leaves(events, ["_k"], {"n": (F.count("*"), "sum")}, gather=700)
+    sizes = cut.groupBy("_k", "_leaf").agg(F.count("*").alias("n"), F.min("o_n").alias("before"), F.min("_at").alias("lo")).orderBy("_k", "lo").collect()
+    assert max(r["n"] for r in sizes) <= 700
+    for k in (0, 1):
+        at = 0
+        for r in (r for r in sizes if r["_k"] == k):
+            assert (r["before"] or 0) == at
+            at += r["n"]
