@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,22 +49,23 @@ def transform(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 def packed(ids: np.ndarray) -> bytes:
-    """Bytes by place value: the high ones are mostly zero, which compresses well."""
-    return np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    """Compressed bytes by place value: the high ones are mostly zero."""
+    return pa.compress(np.ascontiguousarray(ids.astype("<i4").view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<i4").ravel()
+def unpacked(data: bytes | pa.Buffer, length: int) -> np.ndarray:
+    planes = pa.decompress(data, decompressed_size=4 * length, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 class Index:
     """One direction of a shard's FM-index. A phrase is an interval of rows, `size` rows from `low`."""
 
-    def __init__(self, bwt: np.ndarray, words: int) -> None:
-        self.bwt, self.n = bwt.astype(np.int64), len(bwt)
+    def __init__(self, bwt: np.ndarray) -> None:
+        self.bwt, self.n, self.words = bwt.astype(np.int64), len(bwt), int(bwt.max(initial=0))
         # Rows of each symbol, symbol by symbol: a rank is a place in here.
         self.rows = np.sort(self.bwt * self.n + np.arange(self.n))
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(bwt, minlength=words + 1))])
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(bwt))])
 
     def word(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return self.first[w], self.first[w + 1] - self.first[w]
@@ -86,17 +86,21 @@ class Index:
         """(interval, symbol, occurrences, occurrences of lesser symbols there) of everything that stands before each interval's phrase."""
         at = np.repeat(np.arange(len(low)), size)
         rows = np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size) + low[at]
-        radix = self.bwt.max(initial=0) + 1
+        radix = self.words + 1
         key, count = np.unique(at * radix + self.bwt[rows], return_counts=True)
         of, symbol = key // radix, key % radix
         upto = np.cumsum(count) - count
         return of, symbol, count, upto - (np.cumsum(size) - size)[of]
 
 
+#: A word's number is the shard that met it first, times this, and its place there; a shard has fewer words.
+_PLACES = 1 << 24
+
+
 def _shards(docs: DataFrame, depth: int, shard_tokens: int) -> DataFrame:
-    """Rows (shard, lang, words, counts, left, right): texts of one language met in one task, cut at about shard_tokens words."""
+    """Rows (shard, lang, words, counts, length, left, right): texts of one language met in one task, cut at about shard_tokens words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, done = TaskContext.get().partitionId() << 32, 0
+        base, done = TaskContext.get().partitionId() << 16, 0
         held: dict[str, tuple[_Ids, list[np.ndarray]]] = {}
 
         def shard(lang: str) -> pa.RecordBatch:
@@ -108,14 +112,16 @@ def _shards(docs: DataFrame, depth: int, shard_tokens: int) -> DataFrame:
             new = np.empty_like(order)
             new[order] = np.arange(len(order))
             text = new[text]
+            if len(order) >= _PLACES or done >> 16:
+                raise ValueError("too many words in a shard, or shards in a task")
             words = pa.array(list(ids), pa.binary()).take(pa.array(order[1:])).cast(pa.string())
             ends = pa.array([0, len(words)], pa.int32())
             done += 1
             return pa.RecordBatch.from_arrays([
                 pa.array([base + done - 1]), pa.array([lang]), pa.ListArray.from_arrays(ends, words),
-                pa.ListArray.from_arrays(ends, pa.array(count[order[1:]], pa.int64())),
+                pa.ListArray.from_arrays(ends, pa.array(count[order[1:]], pa.int64())), pa.array([len(text)], pa.int64()),
                 pa.array([packed(transform(text, depth))], pa.binary()), pa.array([packed(transform(text[::-1], depth))], pa.binary())],
-                ["shard", "lang", "words", "counts", "left", "right"])
+                ["shard", "lang", "words", "counts", "length", "left", "right"])
 
         for batch in batches:
             for part in slices([batch], "text"):
@@ -129,80 +135,86 @@ def _shards(docs: DataFrame, depth: int, shard_tokens: int) -> DataFrame:
         for lang in sorted(held):
             yield shard(lang)
 
-    return docs.mapInArrow(run, "shard long, lang string, words array<string>, counts array<long>, left binary, right binary")
+    return docs.mapInArrow(run, "shard long, lang string, words array<string>, counts array<long>, length long, left binary, right binary")
 
 
-def _spelled(words: pa.Array, ids: list[np.ndarray]) -> pa.Array:
-    return pc.binary_join_element_wise(*[words.take(pa.array(i - 1)) for i in ids], " ")
+def _numbers(column: pa.Array, row: int, field: str) -> np.ndarray:
+    return column[row].values.field(field).to_numpy(zero_copy_only=False)
 
 
-def _grown(name: str, batches: Iterator[pa.RecordBatch], grow) -> Iterator[pa.RecordBatch]:
-    """Run grow(words, phrases, row) for each shard; it yields (id arrays, counts)."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = {c: batch.column(c)[i] for c in batch.schema.names}
-            words = row["words"].values
-            for ids, count in grow(words, row["phrases"].values, row):
-                for at in range(0, len(count), 100_000):
-                    part = [x[at:at + 100_000] for x in ids]
-                    m = len(part[0])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(m, row["shard"].as_py())), pa.array([row["lang"].as_py()] * m, pa.string()), _spelled(words, part),
-                         pa.array(np.full(m, len(part), np.int32)), pa.array(count[at:at + 100_000], pa.int64())], ["shard", "lang", "phrase", "size", "n"])
+def _known(batch: pa.RecordBatch, row: int) -> np.ndarray:
+    """Number of each word of the shard in the order of its places, 0 for the break and for words that are not frequent."""
+    place = _numbers(batch.column("known"), row, "place")
+    numbers = np.zeros(place.max() + 1, np.int64)
+    numbers[place] = _numbers(batch.column("known"), row, "id")
+    return numbers
 
 
-_ROWS = "shard long, lang string, phrase string, size int, n long"
+def _index(batch: pa.RecordBatch, row: int, side: str) -> Index:
+    return Index(unpacked(batch.column(side)[row].as_buffer(), batch.column("length")[row].as_py()))
+
+
+def _pieces(columns: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    rows = len(next(iter(columns.values())))
+    for at in range(0, rows, 100_000):
+        yield pa.RecordBatch.from_pydict({c: pa.array(v[at:at + 100_000]) for c, v in columns.items()})
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two words, both frequent: each frequent word is extended to the left."""
-    def grow(words: pa.Array, phrases: pa.Array, row: dict):
-        index = Index(unpacked(row["left"].as_buffer()), len(words))
-        w = np.sort(pc.index_in(phrases, words).to_numpy(zero_copy_only=False) + 1).astype(np.int64)
-        frequent = np.zeros(len(words) + 1, dtype=bool)
-        frequent[w] = True
-        of, before, count, _ = index.extensions(*index.word(w))
-        keep = frequent[before]
-        yield [before[keep], w[of[keep]]], count[keep]
-
-    return _grown("pairs", batches, grow)
+    for batch in batches:
+        for row in range(batch.num_rows):
+            index, numbers = _index(batch, row, "left"), _known(batch, row)
+            w = np.flatnonzero(numbers)
+            of, before, count, _ = index.extensions(*index.word(w))
+            both = before < len(numbers)
+            both[both] = numbers[before[both]] > 0
+            of, before, count = of[both], before[both], count[both]
+            yield from _pieces({"shard": np.full(len(count), batch.column("shard")[row].as_py()), "w1": numbers[before], "w2": numbers[w[of]], "n": count})
 
 
 def _longer(most_words: int):
-    """Three words and more, in which any two neighbours are a frequent pair: intervals in both directions, extended in turn."""
-    def grow(words: pa.Array, phrases: pa.Array, row: dict):
-        # Put before a phrase in the text: left. Put after it, that is before the reversed phrase in the reversed text: right.
-        left, right = (Index(unpacked(row[side].as_buffer()), len(words)) for side in ("left", "right"))
-        split = pc.split_pattern(phrases, " ").values
-        two = (pc.index_in(split, words).to_numpy(zero_copy_only=False) + 1).astype(np.int64).reshape(-1, 2)
-        radix = len(words) + 1
-        pairs = np.sort(two[:, 0] * radix + two[:, 1])
-        ids = [two[:, 0], two[:, 1]]
-        low, size = left.find([ids[1], ids[0]])
-        rlow, _ = right.find(ids)
-        for n in range(3, most_words + 1):
-            onward = n % 2 == 1
-            index, own, other = (right, rlow, low) if onward else (left, low, rlow)
-            of, symbol, count, lesser = index.extensions(own, size)
-            ends = ids[-1][of] * radix + symbol if onward else symbol * radix + ids[0][of]
-            keep = (symbol > 0) & np.isin(ends, pairs)
-            of, symbol, size, lesser = of[keep], symbol[keep], count[keep], lesser[keep]
-            # The interval in the other direction is cut by the same symbol: what is lesser lies before it.
-            own, other = index.step(symbol, own[of]), other[of] + lesser
-            low, rlow = (other, own) if onward else (own, other)
-            ids = [x[of] for x in ids]
-            ids = [*ids, symbol] if onward else [symbol, *ids]
-            if not len(symbol):
-                return
-            yield ids, size
-
-    return lambda batches: _grown("longer", batches, grow)
-
-
-def _frequent(rows: DataFrame, least: int) -> DataFrame:
-    """rows of phrases that occur `least` times in all shards of their language, with that number f; a shard has a phrase once."""
-    hashed = rows.withColumn("_h", F.xxhash64("phrase", "lang"))
-    return hashed.withColumn("f", F.sum("n").over(Window.partitionBy("_h", "phrase", "lang"))).where(F.col("f") >= least).drop("_h")
+    """Three words and more, in which any two neighbours are a frequent pair: intervals in both directions, extended in turn.
+
+    Pairs go out too, with their count in all shards, from the one shard that owns them.
+    """
+    def rows(ids: list[np.ndarray], count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(len(count), np.int64)
+        yield from _pieces({**{f"w{k + 1}": ids[k] if k < len(ids) else none for k in range(most_words)}, "n": count})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                a, b, f = (_numbers(batch.column("pairs"), row, c) for c in ("w1", "w2", "f"))
+                own = np.flatnonzero(f)
+                yield from rows([a[own], b[own]], f[own])
+                if most_words == 2:
+                    continue
+                # Put before a phrase in the text: left. Put after it, that is before the reversed phrase in the reversed text: right.
+                left, right, numbers = _index(batch, row, "left"), _index(batch, row, "right"), _known(batch, row)
+                places = np.argsort(numbers, kind="stable")
+                ids = [places[np.searchsorted(numbers[places], x)] for x in (a, b)]
+                radix = left.words + 1
+                pairs = np.sort(ids[0] * radix + ids[1])
+                low, size = left.find([ids[1], ids[0]])
+                rlow, _ = right.find(ids)
+                for n in range(3, most_words + 1):
+                    onward = n % 2 == 1
+                    index, mine, other = (right, rlow, low) if onward else (left, low, rlow)
+                    of, symbol, count, lesser = index.extensions(mine, size)
+                    ends = ids[-1][of] * radix + symbol if onward else symbol * radix + ids[0][of]
+                    keep = np.isin(ends, pairs)
+                    of, symbol, size, lesser = of[keep], symbol[keep], count[keep], lesser[keep]
+                    # The interval in the other direction is cut by the same symbol: what is lesser lies before it.
+                    mine, other = index.step(symbol, mine[of]), other[of] + lesser
+                    low, rlow = (other, mine) if onward else (mine, other)
+                    ids = [x[of] for x in ids]
+                    ids = [*ids, symbol] if onward else [symbol, *ids]
+                    if not len(symbol):
+                        break
+                    yield from rows([numbers[x] for x in ids], size)
+
+    return run
 
 
 def phrase_counts(docs: DataFrame, most_words: int = 4, least: int = 30, shard_tokens: int = 1_000_000, text_col: str = "text",
@@ -211,29 +223,42 @@ def phrase_counts(docs: DataFrame, most_words: int = 4, least: int = 30, shard_t
     (lang, n), all words of each language. Both are stored tables; run inside a scratch scope to have the rest removed.
 
     Each shard is indexed in both directions; only what every part of a phrase has in all shards together lets a shard look
-    at longer ones: frequent words, then frequent pairs, come back to the shards that hold them.
+    at longer ones: frequent words, then frequent pairs, come back to the shards that hold them. Words travel as numbers.
     """
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text")
     lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang")
     shards = stored(_shards(docs.select(text, lang), most_words, shard_tokens), "shards")
-    words = shards.select("shard", "lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select(
-        "shard", "lang", F.col("w.words").alias("phrase"), F.lit(1).alias("size"), F.col("w.counts").alias("n"))
-    totals = stored(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals", keep=True)
-
-    def given(known: DataFrame, sides: list[str]) -> DataFrame:
-        back = known.groupBy("shard").agg(F.collect_list("phrase").alias("phrases"))  # no more than the shard's own words
-        return shards.select("shard", "lang", "words", *sides).join(back, "shard")
-
-    levels = [stored(_frequent(words, least), "words")]
-    if most_words > 1:
-        pairs = given(levels[0], ["left"]).mapInArrow(_pairs, _ROWS)
-        levels.append(stored(_frequent(pairs, least), "pairs"))
-    counts = levels[0].unionByName(levels[1]) if most_words > 1 else levels[0]
-    counts = counts.groupBy("lang", "phrase", "size").agg(F.first("f").alias("f"))
-    if most_words > 2:
-        longer = given(levels[1], ["left", "right"]).mapInArrow(_longer(most_words), _ROWS)
-        counts = counts.unionByName(longer.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f")).where(F.col("f") >= least))
-    return stored(counts, "phrases", keep=True), totals
+    met = shards.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")).select(
+        "shard", "lang", F.col("w.words").alias("word"), (F.col("at") + 1).alias("place"), F.col("w.counts").alias("n"))
+    totals = stored(met.groupBy("lang").agg(F.sum("n").alias("n")), "totals", keep=True)
+    # A shard has a word, and a pair, once: these groups are as long as there are shards.
+    same, own = Window.partitionBy("word", "lang"), F.col("shard") * _PLACES + F.col("place")
+    words = stored(met.withColumns({"f": F.sum("n").over(same), "id": F.min(own).over(same)}).where(F.col("f") >= least).select(
+        "shard", "place", "id", F.when(F.col("id") == own, F.struct("lang", "word", "f")).alias("first")), "words")
+    vocabulary = words.where("first is not null").select("id", "first.*")
+    single = vocabulary.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "f")
+    if most_words == 1:
+        return stored(single, "phrases", keep=True), totals
+
+    def given(side: str | list[str], **back: DataFrame) -> DataFrame:
+        out = shards.select("shard", "length", *side)
+        for name, rows in back.items():  # no more than the shard's own words and pairs
+            out = out.join(rows.groupBy("shard").agg(F.collect_list(F.struct(*[c for c in rows.columns if c != "shard"])).alias(name)), "shard")
+        return out
+
+    known = words.select("shard", "place", "id")
+    pairs = given(["left"], known=known).mapInArrow(_pairs, "shard long, w1 long, w2 long, n long")
+    same = Window.partitionBy("w1", "w2")
+    pairs = pairs.withColumns({"f": F.sum("n").over(same), "first": F.min("shard").over(same)}).where(F.col("f") >= least).select(
+        "shard", "w1", "w2", F.when(F.col("shard") == F.col("first"), F.col("f")).otherwise(0).alias("f"))
+    ids = [f"w{k + 1}" for k in range(most_words)]
+    grown = given(["left", "right"], known=known, pairs=pairs).mapInArrow(_longer(most_words), ", ".join(f"{c} long" for c in ids) + ", n long")
+    grams = stored(grown.groupBy(*ids).agg(F.sum("n").alias("f")).where(F.col("f") >= least), "grams")
+    spelt = grams.select("*", F.posexplode(F.filter(F.array(*ids), lambda w: w > 0)).alias("at", "id")).join(vocabulary.select("id", "lang", "word"), "id")
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda w: w["word"])
+    spelt = spelt.groupBy(*ids, "f").agg(F.first("lang").alias("lang"), in_order.alias("words"))
+    many = spelt.select("lang", F.array_join("words", " ").alias("phrase"), F.size("words").alias("size"), "f")
+    return stored(single.unionByName(many), "phrases", keep=True), totals
 
 
 def _part(first: Column, last: Column | None = None) -> Column:

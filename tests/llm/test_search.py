@@ -60,7 +60,7 @@ def test_collocations_of_nothing(spark):
 def test_index_counts_and_extends():
     rng = np.random.default_rng(3)
     text = np.concatenate([[0], rng.integers(0, 5, 400), [0]]).astype(np.int32)
-    left = phrases.Index(phrases.unpacked(phrases.packed(phrases.transform(text, 4))), 4)
+    left = phrases.Index(phrases.unpacked(phrases.packed(phrases.transform(text, 4)), len(text)))
     grams = Counter(tuple(text[i:i + 3]) for i in range(len(text) - 2))
     for core in [(1, 2), (4, 4), (3, 1)]:
         low, size = left.find([np.array([core[1]]), np.array([core[0]])])
