@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrearium.llm.common import ROW, numbered
-from arrearium.llm.topk import finite, products, scaled
+from arrearium.llm.topk import finite, fitting, products, scaled
 from arrearium.session import scratch_scope, stored
 
 #: Segments of a vector at each step.
@@ -80,7 +80,7 @@ def nearest(a: Rows, b: Rows, own: np.ndarray, other: np.ndarray, k: int) -> Ite
     for i, anchor in enumerate(own):
         at = np.flatnonzero(may[i])
         best = at[b.order(other[at], scores[i, at])[:k]]
-        yield anchor, other[best], scores[i, best]
+        yield anchor, other[best], fitting(scores[i, best])
 
 
 def within(a: Rows, b: Rows, own: np.ndarray, other: np.ndarray, high: np.ndarray, low: np.ndarray, k: int
@@ -100,7 +100,7 @@ def within(a: Rows, b: Rows, own: np.ndarray, other: np.ndarray, high: np.ndarra
         for j in range(high.shape[1]):
             at = np.flatnonzero((scores[i] >= low[anchor, j]) & (scores[i] <= high[anchor, j]))
             best = at[b.order(other[at], scores[i, at])[:k]]
-            yield anchor, j, other[best], scores[i, best]
+            yield anchor, j, other[best], fitting(scores[i, best])
 
 
 def _summarised(rows: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def hard_negatives(vectors: DataFrame, is_anchor: Column, label: Column, positiv
 
     Rows whose label or vector is null, or that hold null or non-finite components, take no part; zero vectors do. Vectors of
     different lengths do not meet. Repeated rows are rows of their own. Null is_anchor: no anchor. A scaled component of 2^53
-    or more and a score beyond 64 bits are errors. An empty table gives no rows; other columns are not read but by is_anchor and label.
+    or more and a returned score beyond 64 bits are errors. An empty table gives no rows; other columns are not read but by is_anchor and label.
     """
     with scratch_scope(vectors.sparkSession):
         rows = numbered(vectors.where(finite(embedding_col) & label.isNotNull()), {

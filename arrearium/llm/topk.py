@@ -31,16 +31,20 @@ def scaled(embedding: str, scale: float) -> Column:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of rows of whole numbers, exact; an error where one does not fit in a long."""
+    """Inner products of rows of whole numbers, exact; what does not fit in a long is held at the limit, for fitting() to find."""
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
     if a.shape[1] * np.abs(a).max() * np.abs(b).max() < _EXACT:
         return (a @ b.T).astype(np.int64)
     whole = np.vectorize(int, otypes=[object])
-    out = whole(a) @ whole(b).T
-    if max(abs(int(x)) for x in out.ravel()) > _LAST_ID:
+    return np.clip(whole(a) @ whole(b).T, -_LAST_ID, _LAST_ID).astype(np.int64)
+
+
+def fitting(scores: np.ndarray) -> np.ndarray:
+    """The scores that are returned; an error if one does not fit in a long."""
+    if (np.abs(scores) == _LAST_ID).any():
         raise OverflowError("a score does not fit in a long")
-    return out.astype(np.int64)
+    return scores
 
 
 class CoverTree:
@@ -137,6 +141,7 @@ class Best:
         at = at[keep]
         both = np.concatenate([self.held[i], np.stack([score[keep], tree.ids[at], tree.no_id[at], tree.rows[at]], axis=1)])
         self.held[i] = both[np.lexsort((both[:, 3], both[:, 1], both[:, 2], -both[:, 0]))[:self.k]]
+        fitting(self.held[i][:, 0])
         if len(self.held[i]) == self.k:
             self.worst[i] = max(self.floor[i], self.held[i][-1, 0])
 
@@ -290,7 +295,7 @@ def _pairs(queries: DataFrame, data: DataFrame, floors: DataFrame, lot: int) ->
     return q.groupBy("dims", "i", "j").cogroup(d.groupBy("_dims", "_i", "_j")).applyInPandas(run, "q long, d long")
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, pivots: int = 64, sample: int = 4_096, block: int = 4_096,
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0, pivots: int = 64, sample: int = 4_096, block: int = 1_024,
           group: int = 256, id_col: str = "vec_id", embedding_col: str = "embedding") -> DataFrame:
     """The k rows of highest integer inner product with each query: query_id, rank, vec_id, score, and the query's row number.
 
@@ -304,7 +309,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
 
     Vectors that are null or hold null or non-finite components take no part; zero and empty ones do. Vectors of different
     lengths do not meet. Repeated rows are rows of their own, as queries too. A scaled component of 2^53 or
-    more and a score beyond 64 bits are errors. Fewer than
+    more and a returned score beyond 64 bits are errors. Fewer than
     k candidates: all. An empty table gives no rows; other columns are not read but by is_query.
     """
     with scratch_scope(vectors.sparkSession):
