@@ -28,9 +28,10 @@ def numbered(df: DataFrame, columns: dict[str, Column], name: str) -> DataFrame:
     return stored(df.select(F.monotonically_increasing_id().alias(ROW), *[c.alias(n) for n, c in columns.items()]), name)
 
 
-def sent(side: DataFrame, most_rows: int = 500_000) -> DataFrame:
-    """Hint a broadcast for a stored side only after counting it."""
-    return F.broadcast(side) if side.limit(most_rows + 1).count() <= most_rows else side
+def sent(side: DataFrame, most_rows: int = 500_000, most_bytes: int = 32 << 20) -> DataFrame:
+    """Hint a broadcast for a stored side only after counting its rows and bytes (as JSON text, near what rows take in memory)."""
+    some = side.limit(most_rows + 1).agg(F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()
+    return F.broadcast(side) if some["n"] <= most_rows and (some["bytes"] or 0) <= most_bytes else side
 
 
 def text_key(text: Column) -> list[Column]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
 from arrearium.llm.common import slices
+from arrearium.session import stored
 
 UNKNOWN = "und"
 _BITS = 16  # n-grams are hashed to 2^16 buckets
@@ -100,7 +101,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     """Count n-grams by language over all labelled texts, then set every bit's classifier from the counts.
 
     Each task adds up dense counts by language and returns them once; the sums are languages x 2^16 numbers.
-    Rows without text or language teach nothing.
+    Rows without text or language teach nothing; repeated rows count each time. More than most_languages different labels
+    are an error, found before any count leaves the executors.
     """
     width = 1 << _BITS
 
@@ -123,11 +125,12 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
 
     rows = labelled.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where("text is not null and lang is not null")
     counted = rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    # Bounded: languages x buckets.
-    table = counted.toPandas()
-    languages = sorted(table["lang"].unique())
-    if len(languages) > most_languages:
-        raise ValueError(f"{len(languages)} languages; raise most_languages if that is meant")
+    counted = stored(counted, "grams-by-language")
+    names = counted.select("lang").distinct().limit(most_languages + 1).collect()
+    if len(names) > most_languages:
+        raise ValueError(f"more than {most_languages} languages; raise most_languages if that is meant")
+    table = counted.toPandas()  # bounded: languages x buckets
+    languages = sorted(r["lang"] for r in names)
     counts = np.zeros((len(languages), width))
     for k, lang in enumerate(languages):
         own = table[table["lang"] == lang]

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrearium.llm.common import slices
+from arrearium.llm.common import sent, slices
 from arrearium.session import scratch_scope, stored
 
 _BREAK = b"\n"
@@ -298,8 +298,12 @@ def collocations(docs: DataFrame, top: int = 2_000, most_words: int = 4, least:
         inside = inside.groupBy("lang", "phrase").agg(F.max("a").alias("longest"))
         kept = scored.join(inside, ["lang", "phrase"], "left").where(
             F.col("longest").isNull() | (F.col("longest").cast(big) * 100 < F.col("a").cast(big) * covered_pct))
+        kept = stored(kept.select("lang", "phrase", "a", "c.l", "c.r", "c.score", F.expr("c.score div 1000").alias("band")), "kept")
+        # Only the bands of scores that the first `top` reach into are put in order.
+        above = Window.partitionBy("lang").orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, -1)  # a thousand bands at most
+        bands = kept.groupBy("lang", "band").agg(F.count("*").alias("here")).withColumn("above", F.coalesce(F.sum("here").over(above), F.lit(0)))
+        reached = sent(stored(bands.where(F.col("above") < top).select("lang", "band"), "bands"))
         first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-        ranked = kept.select("lang", "phrase", "a", "c.l", "c.r", "c.score").withColumn("rank", F.row_number().over(first)).where(
-            F.col("rank") <= top)
+        ranked = kept.join(reached, ["lang", "band"]).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top)
         return stored(ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"),
                       "collocations", keep=True)

@@ -82,15 +82,16 @@ def shard(docs: DataFrame, shards: int = 8, tolerance: float = 0.001, id_col: st
     shard may be any size. slot counts the shard's rows from 0 in key order: equal texts are side by side, in one shard
     unless a boundary must cut them (a group of a third of all bytes). Rows equal in every column stay separate rows.
     Null text: size 1, checksum 0. No rows, no rows. payload: further columns that travel (default: all);
-    columns of docs with the names of results are replaced.
+    columns of docs with the names of results are replaced, all others come back as they were.
     """
     added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     carried = [c for c in (docs.columns if payload is None else [id_col, *payload]) if c not in added and c != ROW]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = numbered(docs, {**{c: F.col(f"`{c}`") for c in dict.fromkeys(carried)}, "size": F.octet_length(text).cast("long") + 1,
+    ids = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
+    rows = numbered(docs, {**{f"c_{c}": F.col(f"`{c}`") for c in dict.fromkeys(carried)}, "_id": F.crc32(ids), "size": F.octet_length(text).cast("long") + 1,
                            "text_crc32": F.crc32(text), "_hash": F.xxhash64(text)}, "sized")
     key = F.concat(F.lower(F.lpad(F.hex("_hash"), 16, "0")),
-                   F.lower(F.lpad(F.hex(F.crc32(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")))), 8, "0")),
+                   F.lower(F.lpad(F.hex("_id"), 8, "0")),
                    F.lower(F.lpad(F.hex(ROW), 16, "0")))
     total = rows.agg(F.sum("size").alias("s"), F.count("*").alias("n")).first()
     n, bytes_ = total["n"], total["s"] or 0
@@ -110,7 +111,7 @@ def shard(docs: DataFrame, shards: int = 8, tolerance: float = 0.001, id_col: st
         F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
     ranked = at.withColumn("_in", F.row_number().over(W.partitionBy("_range").orderBy("_key")) - 1)
     out = ranked.join(F.broadcast(counts), F.col("_range") == F.col("_of"))
-    return out.select(*[F.col(f"`{c}`") for c in dict.fromkeys(carried)], "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+    return out.select(*[F.col(f"`c_{c}`").alias(c) for c in dict.fromkeys(carried)], "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                       (F.col("_first") + F.col("_in")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -47,7 +47,7 @@ def host_and_path(url: str) -> tuple[Column, Column]:
 def longest_rule(rules: Sequence[Rule]) -> Column:
     """(rule, verdict) of the longest rule that fits host and path, else null; of equal length, the one listed first."""
     out = F.lit(None).cast("struct<rule: string, verdict: string>")
-    for r in sorted(rules, key=lambda r: len(r.text)):
+    for r in sorted(reversed(rules), key=lambda r: len(r.text)):  # later ones go before earlier ones
         host = F.col("host")
         fits = ((host == r.host) | host.endswith("." + r.host)) & F.col("path").startswith(r.path)
         out = F.when(fits, F.struct(F.lit(r.text).alias("rule"), F.lit(r.verdict).alias("verdict"))).otherwise(out)
@@ -89,12 +89,13 @@ def judge(pages: DataFrame, rules: Sequence[Rule], labelled: DataFrame | None =
     labelled: a small table (url, label: 1 block, 0 allow). Without one, the rules label it: of the pages that a rule
     fits, at most about most_labelled distinct places, the first by hash. Where a rule fits, its verdict holds; else
     block if score >= 0.5. Null urls and urls without '://' have empty host and path and are scored like that.
-    Repeated rows are judged each; columns of these names in pages are replaced; an empty table stays empty.
+    Repeated rows are judged each; columns of these names in pages are replaced, all others kept, whatever their names; an
+    empty table stays empty. Very long urls are read whole.
     """
     host, path = host_and_path(url_col)
     names = ["host", "path", "rule", "verdict", "score"]
     kept = [c for c in pages.columns if c not in names]
-    placed = pages.select(*[F.col(f"`{c}`") for c in kept], host.alias("host"), path.alias("path"))
+    placed = pages.select(*[F.col(f"`{c}`").alias(f"c_{c}") for c in kept], host.alias("host"), path.alias("path"))
     placed = placed.withColumn("_rule", longest_rule(rules))
     if labelled is not None:
         host, path = host_and_path("url")
@@ -111,5 +112,5 @@ def judge(pages: DataFrame, rules: Sequence[Rule], labelled: DataFrame | None =
 
         scored = model.transform(features(placed, buckets)).withColumn("score", vector_to_array("probability")[1])
     model_verdict = F.when(F.col("score") >= 0.5, "block").otherwise("allow")
-    return scored.select(*[F.col(f"`{c}`") for c in kept], "host", "path", F.col("_rule.rule").alias("rule"),
+    return scored.select(*[F.col(f"`c_{c}`").alias(c) for c in kept], "host", "path", F.col("_rule.rule").alias("rule"),
                          F.coalesce("_rule.verdict", model_verdict).alias("verdict"), "score")

@@ -349,3 +349,58 @@ def test_pipeline_without_learned_language(spark, tmp_path):
     of(lambda k: None).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, "one of the items here")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert {p["doc_id"] for p in corpus_pipeline.run(spark, str(tmp_path)).collect()} == {1, 5, 6}
+
+
+def test_pipeline_uses_the_language_found(spark, monkeypatch):
+    import corpus_pipeline
+
+    texts = {"en": "the house and the garden of the old man were there with all of them", "ru": "старый дом стоял у реки и в саду было тихо и светло"}
+    rows = [(k, texts["en" if k % 2 else "ru"], None if k % 5 == 0 else "en" if k % 2 else "ru", "s", 9, "x") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int, l string")
+    kept = corpus_pipeline.language_id(spark, df, "")
+    assert kept.columns == df.columns
+    assert {r["doc_id"]: r["lang"] for r in kept.collect()} == {k: "en" if k % 2 else "ru" for k in range(60)}
+    monkeypatch.setattr(corpus_pipeline, "KEEP_LANGUAGES", ("ru",))
+    assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, df, "").collect()} == set(range(0, 60, 2))
+
+
+def test_language_labels_without_end_stop_before_the_counts(spark):
+    df = spark.range(30).select(F.lit("some text here").alias("text"), F.concat(F.lit("l"), "id").alias("lang"))
+    with pytest.raises(ValueError, match="more than 20 languages"):
+        language.train(df, most_languages=20)
+
+
+def test_equal_rules_and_odd_column_names_of_pages(spark):
+    rules = url_filter.rules_of(["block b.com/de", "allow x.b.com/", "allow c.com/a", "block c.com/a"])
+    odd = ["features", "probability", "prediction", "rawPrediction", "_grams", "_rule", "host", "a.b"]
+    rows = [(k, u, *range(8)) for k, u in enumerate(["http://x.b.com/de", "http://c.com/a", "http://d.org/b", None, "http://d.org/" + "y" * 50_000])]
+    df = spark.createDataFrame(rows, ["page_id", "url", *odd])
+    got = {r["page_id"]: r for r in url_filter.judge(df, rules).collect()}
+    assert got[0]["rule"] == "b.com/de" and got[1]["verdict"] == "allow" and len(got[4]["path"]) == 50_001 and got[3]["host"] == ""
+    assert all([r[c] for c in odd if c != "host"] == [k for k, c in enumerate(odd) if c != "host"] for r in got.values())
+
+
+def test_odd_column_names_of_shards(spark):
+    odd = ["_range", "_key", "_hash", "_in", "_of", "_first", "_id", "_n", "work", "key", "a.b"]
+    df = spark.createDataFrame([(k, "t" * k, *range(11)) for k in range(40)], ["doc_id", "text", *odd])
+    rows = sharding.shard(df, 3).collect()
+    assert len(rows) == 40 and all([r[c] for c in odd] == list(range(11)) and r["text"] == "t" * r["doc_id"] for r in rows)
+
+
+def test_copies_of_one_owner_are_live(spark):
+    """One owner's candidate in four documents and more, where the statement once stopped at three."""
+    import duckdb
+
+    key = "Zx9" + "qW3rT7yU1iO5pA2sD4" + "fG"
+    rows = [(k, f"note {key} end {k}", "src1") for k in range(5)] + [(9, f"{'A1b2C3d4E5f6G7h8I9j0Kk'} x", "src1"), (10, f"{'A1b2C3d4E5f6G7h8I9j0Kk'} y", "src2")]
+    got = {r["doc_id"]: secret_spans(r) for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert all(got[k] == [("owned", "live")] for k in range(5)) and got[9] == got[10] == []
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    spans = dict(con.execute(f"SELECT doc_id, spans FROM ({queries.ORACLES['op7_secret_scan']})").fetchall())
+    assert all(spans[k].startswith("owned:5:") for k in range(5)) and spans[9] == spans[10] == ""
+
+
+def secret_spans(row):
+    return [(s["kind"], s["verdict"]) for s in row["spans"]]
