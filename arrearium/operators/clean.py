@@ -114,14 +114,14 @@ def cap_outliers_by_group(df: DataFrame, column: str, by: Sequence[str], k_lo: f
 
 
 def distinct_beyond(df: DataFrame, column: str, limit: int) -> Column:
-    """Aggregate: how many distinct values a numeric column has, exact up to limit + 1, and more than limit beyond.
+    """Aggregate: how many distinct values a column has, exact up to limit + 1, and more than limit beyond.
 
     A theta sketch keeps the 64-bit hash of every value while there are no more than its nominal entries, so few values
     are counted and not estimated; its size is bounded. Beyond, the estimate is far above the limit.
     """
     kind = df.schema[column].dataType
     value = F.col(f"`{column}`")
-    if isinstance(kind, T.DecimalType):
+    if isinstance(kind, (T.DecimalType, T.StringType)):
         value = value.cast("string")
     else:
         value = value.cast("double" if isinstance(kind, T.FractionalType) else "long")

@@ -8,15 +8,44 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (OneHotEncoder, StandardScaler, StringIndexer, StringIndexerModel,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arrearium import fixed_values as fv
 from arrearium.functions import expressions as X
-from arrearium.operators.clean import text_columns
+from arrearium.operators.clean import distinct_beyond, numeric_columns, text_columns
+from arrearium.operators.standardize import standardize_dataset
 from arrearium.operators.stats import attach, first_share_by_hash
 
 
+#: More labels than this in one column are no categories to encode.
+MOST_LABELS = 10_000
+
+
+def few_labels(df: DataFrame, columns: Sequence[str], most: int) -> dict[str, list[str] | None]:
+    """Sorted distinct labels of each text column, or None for a column of more than `most`; exact at the limit.
+
+    One pass finds how many distinct values each column has by a sketch that is exact while they are few and whose size is
+    bounded; only columns within the limit give their labels to the driver, most of them at the most.
+    """
+    if not columns:
+        return {}
+    about = df.agg(*[distinct_beyond(df, c, most).alias(c) for c in columns]).first()
+    few = [c for c in columns if about[c] <= most]
+    if not few:
+        return dict.fromkeys(columns)
+    levels = df.agg(*[F.array_sort(F.collect_set(F.col(f"`{c}`").cast("string"))).alias(c) for c in few]).first()
+    return {c: levels[c] if c in few else None for c in columns}
+
+
+def checked_labels(df: DataFrame, columns: Sequence[str], most: int = MOST_LABELS) -> None:
+    """An error for a column with more labels than can be encoded, before any of them leaves the executors."""
+    about = df.agg(*[distinct_beyond(df, c, most).alias(c) for c in columns]).first() if columns else {}
+    many = [c for c in columns if about[c] > most]
+    if many:
+        raise ValueError(f"more than {most} labels in {', '.join(many)}; these are no categories")
+
+
 def encoder_stages(columns: Sequence[str]) -> list:
     """Index and one-hot encode; an unknown or NULL value gives all zeros."""
     return [
@@ -28,7 +57,8 @@ def encoder_stages(columns: Sequence[str]) -> list:
 
 
 def one_hot_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Add one 0/1 column <column>=<value> per value of the fitted table."""
+    """Add one 0/1 column <column>=<value> per value of the fitted table; at most MOST_LABELS values a column."""
+    checked_labels(df, columns)
     model = Pipeline(stages=encoder_stages(columns)).fit(df)
     labels = model.stages[0].labelsArray
     out = model.transform(df)
@@ -39,19 +69,11 @@ def one_hot_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def dummies_drop_first(df: DataFrame, columns: Sequence[str] | None = None, max_levels: int = 30,
                        exclude: Sequence[str] = tuple(fv.TARGET_COLUMNS)) -> DataFrame:
-    """Replace text columns of fewer than max_levels values by 0/1 columns, first value left out.
-
-    A sketch rules out columns with many values before the few values of the rest are collected.
-    """
+    """Replace text columns of fewer than max_levels values by 0/1 columns, first value left out."""
     columns = [c for c in (text_columns(df) if columns is None else columns) if c not in set(exclude)]
     if not columns:
         return df
-    about = df.agg(*[F.approx_count_distinct(c, 0.01).alias(c) for c in columns]).first()
-    few = [c for c in columns if about[c] < 2 * max_levels]
-    if not few:
-        return df
-    levels = df.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in few]).first()
-    use = {c: levels[c] for c in few if len(levels[c]) < max_levels}
+    use = {c: vs for c, vs in few_labels(df, columns, max_levels - 1).items() if vs is not None}
     return df.select(
         *[F.col(f"`{c}`") for c in df.columns if c not in use],
         *[F.coalesce((F.col(c) == v).cast("int"), F.lit(0)).alias(f"{c}_{v}")
@@ -73,6 +95,31 @@ def scaled_copies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return standard_scale(df, columns, "_scaled", 3)
 
 
+def engineer_features(df: DataFrame, add_dti: bool = True, add_severity: bool = True, encode: bool = True, scale: bool = True,
+                      max_levels: int = 30, most_scaled: int = 8, key: str | None = None) -> DataFrame:
+    """The feature stage in one step: ratio and severity columns, 0/1 columns of text labels, scaled copies, standard columns.
+
+    dti_ratio (4 places) and delinquency_severity_score (2 places) come first, from standard values where a column is
+    absent. Then text columns of fewer than max_levels labels become 0/1 columns, and the first most_scaled numeric columns that
+    are no targets get a scaled copy. The table is standardised last, as every later stage expects it.
+    """
+    def given(column: str, otherwise: float) -> Column:
+        return F.col(column) if column in df.columns else F.lit(otherwise)
+
+    out = df
+    if add_dti:
+        out = out.withColumn("dti_ratio", X.round_to(X.dti_simple(given("loan_amount", 25000.0), given("annual_income", 50000.0)), 4))
+    if add_severity:
+        severity = X.delinquency_severity(given("overdue_days", 0.0), given("credit_score", 650.0))
+        out = out.withColumn("delinquency_severity_score", X.round_to(severity, 2))
+    numbers = [c for c in numeric_columns(out) if c not in fv.TARGET_COLUMNS and not c.endswith("_scaled")][:most_scaled]
+    if encode:
+        out = dummies_drop_first(out, max_levels=max_levels)
+    if scale and numbers:
+        out = scaled_copies(out, numbers)
+    return standardize_dataset(out, key)
+
+
 def feature_matrix(numeric: Sequence[str] = tuple(fv.MODEL_NUMERIC),
                    categorical: Sequence[str] = tuple(fv.MODEL_CATEGORICAL), scale: bool = False) -> Pipeline:
     """Numeric columns and encoded categories in one vector named features.

@@ -18,7 +18,8 @@ from arrearium import fixed_values as fv
 from arrearium.functions import expressions as X
 from arrearium.operators.clean import impute_numeric, numeric_columns
 from arrearium.operators.evaluate import score_report
-from arrearium.operators.features import feature_matrix, feature_names
+from arrearium.operators.features import checked_labels, feature_matrix, feature_names
+from arrearium.operators.stats import hash_folds
 from arrearium.session import shared_dir, side_by_side
 
 CLASSIFIERS = ("logistic", "random_forest", "gbt_depth4", "gbt_depth5")
@@ -66,6 +67,7 @@ def train_classifier(train: DataFrame, name: str, label: str = "label", seed: in
     """Fit encoding and classifier as one pipeline; the encoded table is held for the iterations."""
     shared_dir(train.sparkSession)  # boosted trees cut their lineage there
     neg, pos = class_sizes(train, label)
+    checked_labels(train, categorical)
     stages = feature_matrix(numeric, categorical, scale=name == "logistic")
     encoder = stages.fit(train)
     ready = row_weights(encoder.transform(train), name, neg, pos, label).select("features", label, "weight").persist()
@@ -128,8 +130,11 @@ def train_regressor(df: DataFrame, name: str, columns: Sequence[str], target: st
 
 def grid_search_cv(df: DataFrame, columns: Sequence[str], target: str, objective: str = "classification",
                    trees: Sequence[int] = (30, 60), depths: Sequence[int] = (4, 8), folds: int = 3,
-                   seed: int = 42, parallelism: int = 4) -> DataFrame:
-    """Mean cross-validated score per (trees, depth); AUC or R². The best one is marked."""
+                   seed: int = 42, parallelism: int = 4, key: str | None = None) -> DataFrame:
+    """Mean and spread of the cross-validated score per (trees, depth); AUC or R². The best one is marked.
+
+    With a key the folds are exact and repeatable: a class (or, for amounts, the table) is cut into folds that differ by one row at most.
+    """
     if objective == "classification":
         class_sizes(df, target)
         est = RandomForestClassifier(labelCol=target, featuresCol="features", seed=seed)
@@ -138,16 +143,19 @@ def grid_search_cv(df: DataFrame, columns: Sequence[str], target: str, objective
         est = RandomForestRegressor(labelCol=target, featuresCol="features", featureSubsetStrategy="all", seed=seed)
         judge = RegressionEvaluator(labelCol=target, metricName="r2")
     grid = ParamGridBuilder().addGrid(est.numTrees, list(trees)).addGrid(est.maxDepth, list(depths)).build()
-    ready = VectorAssembler(inputCols=list(columns), outputCol="features").transform(df).select("features", target).persist()
+    if key is not None:
+        df = hash_folds(df, key, folds, [target] if objective == "classification" else [])
+    kept = ["features", target] + (["fold"] if key is not None else [])
+    ready = VectorAssembler(inputCols=list(columns), outputCol="features").transform(df).select(*kept).persist()
     try:
         cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, seed=seed,
-                            parallelism=parallelism).fit(ready)
+                            parallelism=parallelism, foldCol="fold" if key is not None else "").fit(ready)
     finally:
         ready.unpersist()
     best = max(range(len(grid)), key=lambda k: cv.avgMetrics[k])
-    rows = [(int(g[est.numTrees]), int(g[est.maxDepth]), float(m), int(k == best))
-            for k, (g, m) in enumerate(zip(grid, cv.avgMetrics))]
-    return df.sparkSession.createDataFrame(rows, "num_trees INT, max_depth INT, score DOUBLE, is_best INT")
+    rows = [(int(g[est.numTrees]), int(g[est.maxDepth]), float(m), float(s), int(k == best))
+            for k, (g, m, s) in enumerate(zip(grid, cv.avgMetrics, cv.stdMetrics))]
+    return df.sparkSession.createDataFrame(rows, "num_trees INT, max_depth INT, score DOUBLE, score_std DOUBLE, is_best INT")
 
 
 def feature_importance(spark, model: PipelineModel, names: Sequence[str] | None = None, k: int = 15) -> DataFrame:

@@ -19,15 +19,21 @@ def _known(df: DataFrame, *keys: str) -> DataFrame:
 
 
 def portfolio_filter(df: DataFrame, loan_types: Sequence[str] | None = None, max_dpd: int | None = None,
-                     target: int | None = None) -> DataFrame:
-    """AND of the filters given; one that is not given, or whose column is absent, is left out."""
+                     target: int | None = None, on_empty: str = "none") -> DataFrame:
+    """AND of the filters given; one that is not given, or whose column is absent, is left out.
+
+    on_empty='all' gives the whole table where no row passes, as a dashboard wants it: one lookup of a single row.
+    """
+    if on_empty not in ("none", "all"):
+        raise ValueError(f"unknown on_empty {on_empty!r}")
+    whole = df
     if loan_types and "loan_type" in df.columns:
         df = df.where(F.col("loan_type").cast("string").isin([str(t) for t in loan_types]))
     if max_dpd is not None and "overdue_days" in df.columns:
         df = df.where(F.col("overdue_days") <= max_dpd)
     if target is not None and "recovery_status_binary" in df.columns:
         df = df.where(F.col("recovery_status_binary") == target)
-    return df
+    return whole if on_empty == "all" and df is not whole and df.isEmpty() else df
 
 
 def filter_settled(df: DataFrame) -> DataFrame:
@@ -115,10 +121,16 @@ def value_counts(df: DataFrame, column: str, share: bool = False) -> DataFrame:
     return counts.orderBy(F.desc("n"), column)
 
 
-def filter_options(df: DataFrame, category: str = "loan_type", dpd: str = "overdue_days") -> DataFrame:
-    """Sorted distinct category labels and the largest dpd, for choosing filters; labels are few."""
-    return df.agg(F.array_sort(F.collect_set(F.col(category).cast("string"))).alias("options"),
-                  F.max(dpd).alias("max_dpd"))
+def filter_options(df: DataFrame, category: str = "loan_type", dpd: str = "overdue_days", most: int = 10_000) -> DataFrame:
+    """Sorted distinct category labels and the largest dpd, for choosing filters; more than `most` labels are an error.
+
+    Labels are made distinct first, and no more than most + 1 of them meet.
+    """
+    labels = df.select(F.col(category).cast("string").alias("label")).where("label is not null").distinct().limit(most + 1)
+    found = labels.agg(F.array_sort(F.collect_list("label")).alias("options"))
+    options = F.when(F.size("options") <= most, F.col("options")).otherwise(
+        F.raise_error(F.lit(f"more than {most} labels in {category}")).cast("array<string>"))
+    return attach(df.agg(F.max(dpd).alias("max_dpd")), _o=found.select(options.alias("options"))).select(F.col("_o.options").alias("options"), "max_dpd")
 
 
 def settlement_points(delinquent: DataFrame) -> DataFrame:

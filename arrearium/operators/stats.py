@@ -6,7 +6,7 @@ and so finds where to look; the next reads only the rows that matter.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -245,6 +245,43 @@ def running_totals(counts: DataFrame, order: str, sums: Sequence[str], descendin
         (F.coalesce(F.col(f"o_{s}"), F.lit(0)) + F.sum(s).over(within)).alias(f"upto_{s}") for s in sums])
 
 
+def hash_ranks(df: DataFrame, key: str, cuts: Callable[[Column], list[Column]], by: Sequence[str] = (), seed: str = "") -> DataFrame:
+    """df with _piece: how many of the cuts lie at or below the row's rank in its group, in md5(key) order, exactly.
+
+    cuts turns a group's size into ranks, each the number of rows before the cut. Counts per four-digit hash prefix tell in which
+    prefix each cut lies; ranking the rows of those prefixes (1/65536 of a group each) gives the last row before each
+    cut. All rows are then decided by comparison, so the table itself is neither shuffled nor sorted. Keys should be unique;
+    a NULL group is a group.
+    """
+    group = F.struct(*[F.col(c) for c in by]) if by else F.lit(0)
+    hashed = df.select(*df.columns, group.alias("_g"), F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))).alias("_h"))
+    hashed = hashed.withColumn("_prefix", F.substring("_h", 1, 4))
+    per_prefix = hashed.groupBy("_g", "_prefix").agg(F.count("*").alias("cnt"))
+    window = W.partitionBy("_g")  # at most 65536 rows per group
+    upto = F.sum("cnt").over(window.orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow))
+    ranks = F.array(*[c.cast("long") for c in cuts(F.col("n"))])
+    placed = per_prefix.withColumns({"upto": upto, "n": F.sum("cnt").over(window)}).select("*", F.posexplode(ranks).alias("_cut", "rank"))
+    placed = placed.where((F.col("rank") > F.col("upto") - F.col("cnt")) & (F.col("rank") <= F.col("upto"))).select(
+        "_g", "_prefix", "_cut", (F.col("rank") - (F.col("upto") - F.col("cnt"))).alias("_left"))
+    spots = placed.groupBy("_g", "_prefix").agg(F.collect_list(F.struct("_cut", "_left")).alias("_cuts"))
+    near = hashed.select("_g", "_prefix", "_h", F.col(key).alias("_k")).join(bounded_side(spots), ["_g", "_prefix"])
+    near = near.withColumn("_rank", F.row_number().over(W.partitionBy("_g", "_prefix").orderBy("_h", "_k")))
+    last = near.select("_g", "_h", "_k", "_rank", F.explode("_cuts").alias("c")).where("_rank = c._left")
+    lasts = last.groupBy("_g").agg(F.collect_list(F.struct("_h", "_k")).alias("_lasts"))  # one for each cut that has rows before it
+    empty = per_prefix.groupBy("_g").agg(F.sum("cnt").alias("n")).select("_g", F.size(F.filter(ranks, lambda r: r <= 0)).alias("_none"))
+    marked = hashed.join(bounded_side(empty.join(lasts, "_g", "left")), "_g")
+    here = F.struct("_h", F.col(key).alias("_k"))
+    passed = F.size(F.filter(F.coalesce("_lasts", F.array().cast(lasts.schema["_lasts"].dataType)), lambda x: x < here))
+    return marked.withColumn("_piece", passed + F.col("_none")).drop("_g", "_h", "_prefix", "_lasts", "_none")
+
+
+def hash_folds(df: DataFrame, key: str, folds: int, by: Sequence[str] = (), seed: str = "") -> DataFrame:
+    """Add fold, 0 to folds - 1: each group cut in hash order of the key, sizes differing by one row at most; fold k ends
+    before rank floor(n (k + 1) / folds)."""
+    cut = hash_ranks(df, key, lambda n: [F.floor(n * k / folds) for k in range(1, folds)], by, seed)
+    return cut.withColumnRenamed("_piece", "fold")
+
+
 def first_share_by_hash(df: DataFrame, key: str, share: float, by: Sequence[str] = (),
                         out: str = "is_test", seed: str = "") -> DataFrame:
     """Mark the floor(share * n) rows of each group that come first in md5(key) order, exactly.

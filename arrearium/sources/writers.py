@@ -15,11 +15,11 @@ def write_tables(tables: Mapping[str, DataFrame], folder: str, fmt: str = "parqu
         writer.option("header", True).csv(f"{folder}/{name}") if fmt == "csv" else writer.parquet(f"{folder}/{name}")
 
 
-def write_master(master: DataFrame, folder: str, rows_per_file: int = 5_000_000, rebalance: bool = False) -> None:
+def write_master(master: DataFrame, folder: str, rows_per_file: int = 5_000_000, rebalance: bool = True) -> None:
     """The master by vintage year, and its delinquent part taken from the written master.
 
     Reading the delinquent rows back from Parquet spares a second run of the joins. rebalance spends
-    a shuffle to get few, even files per year, splitting large years; without it each task writes
+    a shuffle to get few, even files per year, splitting large years; with it off each task writes
     its own file per year.
     """
     if rebalance:

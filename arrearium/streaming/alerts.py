@@ -3,7 +3,9 @@
 An event waits in its account's state until the watermark has passed it, so arrival order does not
 matter; then it is judged against what the rule carries for the account. State per account is the
 waiting events plus, for the rule: the times of the last window (contact cap), a falling list of
-score maxima (score drop), or one value (broken promises).
+score maxima (score drop), or one value (broken promises). Timers, all in event time, wake an account when its next
+event is due and when the last of what it carries has left the window, so an account without events leaves no state; of
+broken promises the last one stays, as any later one may follow it.
 """
 
 from __future__ import annotations
@@ -15,14 +17,15 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 # Tasks get these helpers with the job, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DAY = 86_400_000_000
 
-STATE = "w_ts array<bigint>, w_id array<bigint>, w_v array<bigint>, c_ts array<bigint>, c_v array<bigint>"
+#: What a query with such state must run on.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 # A rule takes the carried (times, values), one moment and its events' values, and returns the new
 # carried lists and one (number, flag) per event.
@@ -31,8 +34,10 @@ Rule = Callable[[list, list, int, list], tuple[list, list, list]]
 
 def cap_rule(max_contacts: int, days: int) -> Rule:
     def judge(times, values, at, events):
-        times = [t for t in times if t >= at - days * DAY] + [at] * len(events)
-        return times, [], [(len(times), int(len(times) > max_contacts))] * len(events)
+        # Moments and how many contacts each had: a moment of very many is one entry.
+        kept = [(t, n) for t, n in zip(times, values) if t >= at - days * DAY] + [(at, len(events))]
+        number = sum(n for _, n in kept)
+        return [t for t, _ in kept], [n for _, n in kept], [(number, int(number > max_contacts))] * len(events)
     return judge
 
 
@@ -53,57 +58,82 @@ def promise_rule() -> Rule:
         for kept in events:
             out.append((last, int(kept == 0 and last == 0)))
             last = kept
-        return [], [last], out
+        return [at], [last], out
     return judge
 
 
-def in_event_order(rule: Rule):
-    """State function: hold events until the watermark passes, then apply the rule moment by moment."""
+class InEventOrder(StatefulProcessor):
+    """Holds events until the watermark passes, then applies the rule moment by moment.
 
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        w_ts, w_id, w_v, c_ts, c_v = (list(x) for x in state.get) if state.exists else ([], [], [], [], [])
-        waiting = list(zip(w_ts, w_id, w_v))
-        for pdf in batches:
-            waiting += zip(pdf["t"].tolist(), pdf["event_id"].tolist(), pdf["v"].tolist())
-        mark = state.getCurrentWatermarkMs() * 1000
-        waiting.sort()
+    keep: microseconds after which a carried entry is of no use; None: for ever.
+    """
+
+    def __init__(self, rule: Rule, keep: int | None) -> None:
+        self.rule, self.keep = rule, keep
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", "t bigint, id bigint, v bigint")
+        self.carried = handle.getListState("carried", "t bigint, v bigint")
+
+    def _wake(self, micros: int) -> None:
+        self.handle.registerTimer(micros // 1000 + 1)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        new = [(int(t), int(i), int(v)) for pdf in rows for t, i, v in zip(pdf["t"], pdf["event_id"], pdf["v"])]
+        self.waiting.appendList(new)
+        self._wake(min(new)[0])
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = sorted(tuple(w) for w in self.waiting.get())
         ready = [w for w in waiting if w[0] < mark]
-        waiting = waiting[len(ready):]
-        rows, at = [], 0
+        carried = [tuple(c) for c in self.carried.get()]
+        times, values, rows, at = [c[0] for c in carried], [c[1] for c in carried], [], 0
         while at < len(ready):
             end = at
             while end < len(ready) and ready[end][0] == ready[at][0]:
                 end += 1
-            c_ts, c_v, judged = rule(c_ts, c_v, ready[at][0], [w[2] for w in ready[at:end]])
+            times, values, judged = self.rule(times, values, ready[at][0], [w[2] for w in ready[at:end]])
             rows += [(key[0], w[1], n, flag) for w, (n, flag) in zip(ready[at:end], judged)]
             at = end
-        state.update(([w[0] for w in waiting], [w[1] for w in waiting], [w[2] for w in waiting], c_ts, c_v))
-        if waiting:
-            state.setTimeoutTimestamp(max(waiting[0][0] // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(rows, columns=["account_id", "event_id", "measure", "alert"])
-
-    return run
-
-
-def _stateful(events: DataFrame, ts: str, value, rule: Rule, delay: str) -> DataFrame:
+        left = waiting[len(ready):]
+        if ready:
+            self.waiting.put(left) if left else self.waiting.clear()
+        if left:
+            self._wake(left[0][0])
+        # No event before the mark will be judged any more, so what none after it can look back to goes.
+        kept = [(t, v) for t, v in zip(times, values) if self.keep is None or t >= mark - self.keep]
+        if kept != carried:
+            self.carried.put(kept) if kept else self.carried.clear()
+        if kept and self.keep is not None:
+            self._wake(kept[-1][0] + self.keep)
+        if rows:
+            yield pd.DataFrame(rows, columns=["account_id", "event_id", "measure", "alert"])
+
+
+def _stateful(events: DataFrame, ts: str, value, rule: Rule, keep_days: int | None, delay: str) -> DataFrame:
+    """Sets the session's state store to STATE_STORE, the one that has timers and lists."""
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     at = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
     flat = at.select("account_id", ts, F.unix_micros(ts).alias("t"), F.col("event_id").cast("long").alias("event_id"),
                      value.cast("long").alias("v"))
-    return flat.groupBy("account_id").applyInPandasWithState(
-        in_event_order(rule), "account_id bigint, event_id bigint, measure bigint, alert bigint", STATE, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    return flat.groupBy("account_id").transformWithStateInPandas(
+        InEventOrder(rule, None if keep_days is None else keep_days * DAY),
+        "account_id bigint, event_id bigint, measure bigint, alert bigint", "Append", "EventTime")
 
 
 def contact_cap_stream(contacts: DataFrame, max_contacts: int = 3, days: int = 7, delay: str = "1 day") -> DataFrame:
     """measure = contacts in the window; alert = over the cap."""
-    return _stateful(contacts, "contact_ts", F.lit(1), cap_rule(max_contacts, days), delay)
+    return _stateful(contacts, "contact_ts", F.lit(1), cap_rule(max_contacts, days), days, delay)
 
 
 def score_drop_stream(scores: DataFrame, points: int = 35, days: int = 90, delay: str = "1 day") -> DataFrame:
     """measure = points below the best score of the window; alert = large drop."""
-    return _stateful(scores, "score_ts", F.col("score"), drop_rule(points, days), delay)
+    return _stateful(scores, "score_ts", F.col("score"), drop_rule(points, days), days, delay)
 
 
 def broken_promise_stream(promises: DataFrame, delay: str = "1 day") -> DataFrame:
     """measure = the previous promise (1 kept or none before, 0 broken); alert = second broken in a row."""
-    return _stateful(promises, "promise_ts", F.col("kept"), promise_rule(), delay)
+    return _stateful(promises, "promise_ts", F.col("kept"), promise_rule(), None, delay)

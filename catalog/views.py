@@ -10,17 +10,17 @@ VIEWS = {
     "customers": """
 SELECT c.c_custkey AS customer_id,
   CAST(21 + (c.c_custkey*7) % 48 AS INT) AS age,
-  CASE WHEN (c.c_custkey*13) % 100 < 58 THEN 'Male' WHEN (c.c_custkey*13) % 100 < 98 THEN 'Female' ELSE 'Other' END AS gender,
+  CASE WHEN (c.c_custkey*13) % 100 < 49 THEN 'Male' WHEN (c.c_custkey*13) % 100 < 97 THEN 'Female' ELSE 'Other' END AS gender,
   r.r_name AS region,
-  CASE WHEN (c.c_custkey*37) % 100 < 42 THEN 'Tier 1' WHEN (c.c_custkey*37) % 100 < 77 THEN 'Tier 2'
-       WHEN (c.c_custkey*37) % 100 < 95 THEN 'Tier 3' ELSE 'Rural' END AS city_tier,
+  CASE WHEN (c.c_custkey*37) % 100 < 30 THEN 'Tier 1' WHEN (c.c_custkey*37) % 100 < 61 THEN 'Tier 2'
+       WHEN (c.c_custkey*37) % 100 < 88 THEN 'Tier 3' ELSE 'Rural' END AS city_tier,
   CASE WHEN c.c_custkey % 83 = 0 THEN 'Unemployed' ELSE c.c_mktsegment END AS employment_status,
   CASE WHEN c.c_custkey % 83 = 0 OR c.c_custkey % 29 = 0 THEN NULL ELSE CAST(c.c_custkey % 17 AS INT) END AS employment_length_years,
   (30000e0 + 9e0*c.c_acctbal) * (CASE WHEN c.c_custkey % 97 = 0 THEN 10e0 WHEN c.c_custkey % 211 = 0 THEN 0.1e0 ELSE 1e0 END) AS annual_income,
   CAST(480 + (c.c_custkey*7919) % 371 AS INT) AS credit_score,
-  CASE WHEN c.c_custkey % 53 = 0 THEN NULL WHEN (c.c_custkey*11) % 100 < 32 THEN 'Owned'
-       WHEN (c.c_custkey*11) % 100 < 60 THEN 'Mortgaged' WHEN (c.c_custkey*11) % 100 < 90 THEN 'Rented' ELSE 'Family Owned' END AS housing_status,
-  CASE WHEN (c.c_custkey*19) % 100 < 64 THEN 'Married' WHEN (c.c_custkey*19) % 100 < 93 THEN 'Single' ELSE 'Divorced' END AS marital_status,
+  CASE WHEN c.c_custkey % 53 = 0 THEN NULL WHEN (c.c_custkey*11) % 100 < 26 THEN 'Owned'
+       WHEN (c.c_custkey*11) % 100 < 51 THEN 'Mortgaged' WHEN (c.c_custkey*11) % 100 < 77 THEN 'Rented' ELSE 'Family Owned' END AS housing_status,
+  CASE WHEN (c.c_custkey*19) % 100 < 47 THEN 'Married' WHEN (c.c_custkey*19) % 100 < 83 THEN 'Single' ELSE 'Divorced' END AS marital_status,
   CAST((c.c_custkey*3) % 7 AS INT) AS existing_debts_count
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
 """,
@@ -78,7 +78,7 @@ SELECT p.loan_id AS recovery_id, p.loan_id, p.customer_id,
   CASE WHEN (p.loan_id*17) % 101 < 43 THEN ((p.loan_id*29) % 1500)/100e0 WHEN (p.loan_id*17) % 101 < 66 THEN 15e0 + ((p.loan_id*29) % 3000)/100e0 ELSE 0e0 END AS settlement_discount_pct,
   CASE WHEN (p.loan_id*17) % 101 < 43 THEN (o.o_totalprice - p.principal_paid)*(1e0 - ((p.loan_id*29) % 1500)/10000e0)
        WHEN (p.loan_id*17) % 101 < 66 THEN (o.o_totalprice - p.principal_paid)*(0.35e0 + ((p.loan_id*3) % 40)/100e0) ELSE 0e0 END AS recovered_amount,
-  15e0 + 8.5e0*(1 + (p.loan_id*5) % 28) + (p.overdue_days % 7)*50e0 AS recovery_cost,
+  11e0 + 6.25e0*(1 + (p.loan_id*5) % 28) + (p.overdue_days % 7)*40e0 AS recovery_cost,
   CASE WHEN (p.loan_id*17) % 101 < 66 THEN p.last_payment_date + CAST(p.overdue_days AS INT) ELSE NULL END AS recovery_date
 FROM repayments p JOIN orders o ON o.o_orderkey = p.loan_id WHERE p.overdue_days > 30
 """,

@@ -125,6 +125,42 @@ def test_segments_and_components(spark, sf_dir):
     assert segments.pca_2d(vectors, pca).count() == vectors.count()
 
 
+def test_batch_run_goes_on_where_it_stopped(spark, sf_dir, tmp_path):
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+
+    from arrearium.plans import batch
+
+    i = Inputs(spark, sf_dir)
+    raw = {"customers": i.customers, "loans": i.loans, "repayments": i.repayments, "recovery_activities": i.recovery}
+    calls, broken = [], ["gbt_depth4"]
+
+    def fit(train, name):
+        calls.append(name)
+        if name in broken:
+            raise RuntimeError("executor lost")
+        small = {"random_forest": RandomForestClassifier(numTrees=5, maxDepth=4, seed=1, labelCol="label", weightCol="weight"),
+                 "gbt_depth4": GBTClassifier(maxIter=3, maxDepth=3, seed=1, labelCol="label", weightCol="weight")}
+        return models.train_classifier(train, name, estimator=small.get(name))
+
+    names = ("logistic", "random_forest", "gbt_depth4")
+    with pytest.raises(RuntimeError, match="lost"):
+        batch.run_batch(raw, str(tmp_path), names, starts=1, fit=fit)
+    broken.clear()
+    run = batch.run_batch(raw, str(tmp_path), names, starts=1, fit=fit)
+    assert run.ran == ["model-gbt_depth4", "benchmark", "threshold", "drivers", "metadata"]
+    assert calls == ["logistic", "random_forest", "gbt_depth4", "gbt_depth4"]
+    assert batch.run_batch(raw, str(tmp_path), names, starts=1, fit=fit).ran == []
+    assert batch.run_batch(raw, str(tmp_path), names, starts=1, drivers=3, fit=fit).ran == ["drivers", "metadata"]
+    meta = run.metadata().first()
+    split = run.table("split")
+    assert meta["training_sample_size"] + meta["test_sample_size"] == split.count() == run.table("master").where("overdue_days > 30").count()
+    assert set(meta["benchmark_comparison"]) == set(names) and meta["metrics_default_threshold"] == meta["benchmark_comparison"][meta["model_name"]]
+    assert meta["metrics_default_threshold"]["roc_auc"] == max(m["roc_auc"] for m in meta["benchmark_comparison"].values())
+    assert meta["optimal_recovery_threshold"] == evaluate.optimal_threshold(run.table("thresholds")).first()["threshold"]
+    assert len(meta["explainable_ai"]["top_drivers"]) == 3 and meta["features"]["total_transformed_features"] > len(meta["features"]["numeric"])
+    assert run.table("segments").count() == run.table("master").count()
+
+
 def test_whole_pipeline(spark, sf_dir, tmp_path):
     book = Inputs(spark, sf_dir).book.select("loan_id", *NUMERIC, "loan_type")
     result = pipeline.run_pipeline(book.unionByName(book), "loan_id", str(tmp_path), trees=5, depth=4)

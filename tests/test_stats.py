@@ -162,6 +162,23 @@ def test_windows_with_nulls_and_repeated_ids(spark):
     assert sorted(map(str, got)) == sorted(map(str, plain.collect()))
 
 
+@pytest.mark.parametrize("folds", [2, 3, 7])
+def test_folds_of_every_class_differ_by_one_row_at_most(spark, folds):
+    import hashlib
+
+    rows = [(k, None if k % 11 == 0 else k % 3 if k > 5 else 9) for k in range(2_000)]
+    got = stats.hash_folds(spark.createDataFrame(rows, "k long, label int"), "k", folds, ["label"])
+    assert got.columns == ["k", "label", "fold"]
+    by = {}
+    for r in got.collect():
+        by.setdefault(r["label"], []).append((hashlib.md5(str(r["k"]).encode()).hexdigest(), r["fold"]))
+    assert sum(map(len, by.values())) == 2_000
+    for held in by.values():
+        n = len(held)
+        want = [sum(rank >= n * j // folds for j in range(1, folds)) for rank in range(n)]
+        assert [f for _, f in sorted(held)] == want
+
+
 def test_sortable_image_keeps_every_double(spark):
     rng = np.random.default_rng(4)
     some = np.concatenate([2.0 ** np.arange(-1074, 1024), np.nextafter(2.0 ** np.arange(-1000, 1024), 0), rng.integers(0, 0x7FF << 52, 3_000).view(np.float64),

@@ -60,19 +60,69 @@ def test_streams_equal_batch(spark, events, tmp_path):
         assert got == {r["event_id"]: (r[measure], r[flag]) for r in want.collect()}, name
 
 
+def test_state_falls_back_and_the_last_events_come(spark, tmp_path):
+    """Once the watermark is past the window, no account holds state; every event has been judged by then."""
+    start = dt.datetime(2024, 1, 1)
+    rows = [(k, k % 5, start + dt.timedelta(hours=k), 600 + k % 7, k % 2) for k in range(60)]
+    far = [(10**9 + n, 10**9, start + dt.timedelta(days=100 * (n + 1)), 0, 1) for n in range(3)]
+    for n, part in enumerate([rows, *[[f] for f in far]]):
+        spark.createDataFrame(part, COLUMNS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(COLUMNS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    out = alerts.contact_cap_stream(stream.withColumnRenamed("ts", "contact_ts"), delay="2 days")
+    run = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option(
+        "checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    run.awaitTermination()
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in run.recentProgress if p["stateOperators"]]
+    assert max(held) >= 5 and held[-1] <= 1  # a list counts once
+    got = {r["event_id"] for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got >= {r[0] for r in rows}
+
+
 def test_ingest_keeps_the_latest_row_and_repeats_safely(spark, tmp_path):
     schema = "loan_id int, day int, overdue_days int"
     src, out = f"{tmp_path}/src", f"{tmp_path}/out"
-    for day, rows in enumerate([[(1, 0, 5), (2, 0, 40)], [(1, 1, 35)], [(3, 2, 0)]]):
-        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
-        stream = spark.readStream.schema(schema).parquet(src)
-        ingest.daily_ingest(stream, out, lambda df: filter_delinquent(df)).awaitTermination()
-        again = spark.readStream.schema(schema).parquet(src)
-        ingest.daily_ingest(again, out, lambda df: filter_delinquent(df)).awaitTermination()
-    got = {r["loan_id"]: r["overdue_days"] for r in ingest.latest_rows(spark, out, "loan_id", "day").collect()}
-    assert got == {1: 35, 2: 40, 3: 0}
-    assert spark.read.parquet(f"{out}/accounts").count() == 4
-    assert {r["loan_id"] for r in spark.read.parquet(f"{out}/alerts").collect()} == {1, 2}
+    days = [[(1, 0, 5), (2, 0, 40)], [(1, 1, 35)], [(3, 2, 0)], [(2, 3, 0)], [(1, 2, 36), (3, 2, 99)], [(1, 0, 0)]]
+    latest = {}
+    for n, rows in enumerate(days):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        for _ in range(2):  # the second run finds nothing new
+            stream = spark.readStream.schema(schema).parquet(src)
+            ingest.daily_ingest(stream, out, "loan_id", "day", filter_delinquent, merge_every=3).awaitTermination()
+        for loan, day, overdue in rows:
+            if day >= latest.get(loan, (-1, 0))[0]:
+                latest[loan] = (day, overdue)
+        got = {r["loan_id"]: (r["day"], r["overdue_days"]) for r in ingest.latest_rows(spark, out, "loan_id", "day").collect()}
+        assert got == latest
+        late = {r["loan_id"] for r in ingest.current_alerts(spark, out).collect()}
+        assert late == {k for k, (_, overdue) in latest.items() if overdue > 30}, "withdrawn once cured"
+        base, deltas = ingest.manifest(spark, out)
+        assert len(deltas) < 3
+    assert spark.read.parquet(f"{out}/accounts").count() == sum(map(len, days))
+
+
+def test_a_batch_tried_again_changes_nothing(spark, tmp_path):
+    """A driver lost between the snapshot and the manifest: the batch runs again under its number."""
+    schema = "loan_id int, day int, overdue_days int"
+    src, out = f"{tmp_path}/src", f"{tmp_path}/out"
+    calls = []
+
+    def failing(df):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return filter_delinquent(df)
+
+    for n, rows in enumerate([[(1, 0, 50)], [(1, 1, 60), (2, 1, 70)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        run = ingest.daily_ingest(spark.readStream.schema(schema).parquet(src), out, "loan_id", "day", failing)
+        if n == 1:
+            with pytest.raises(Exception, match="lost"):
+                run.awaitTermination()
+            assert {r["loan_id"] for r in ingest.latest_rows(spark, out, "loan_id", "day").collect()} == {1}
+            run = ingest.daily_ingest(spark.readStream.schema(schema).parquet(src), out, "loan_id", "day", failing)
+        run.awaitTermination()
+    assert {r["loan_id"]: r["overdue_days"] for r in ingest.latest_rows(spark, out, "loan_id", "day").collect()} == {1: 60, 2: 70}
+    assert spark.read.parquet(f"{out}/accounts").count() == 3
 
 
 def test_daily_ingest_reads_every_event_type(spark, tmp_path):
