@@ -96,7 +96,7 @@ class InEventOrder(StatefulProcessor):
             while end < len(ready) and ready[end][0] == ready[at][0]:
                 end += 1
             times, values, judged = self.rule(times, values, ready[at][0], [w[2] for w in ready[at:end]])
-            rows += [(key[0], w[1], n, flag) for w, (n, flag) in zip(ready[at:end], judged)]
+            rows += [(None if key[1] else int(key[0]), w[1], n, flag) for w, (n, flag) in zip(ready[at:end], judged)]
             at = end
         left = waiting[len(ready):]
         if ready:
@@ -110,16 +110,20 @@ class InEventOrder(StatefulProcessor):
         if kept and self.keep is not None:
             self._wake(kept[-1][0] + self.keep)
         if rows:
-            yield pd.DataFrame(rows, columns=["account_id", "event_id", "measure", "alert"])
+            yield pd.DataFrame(rows, columns=["account_id", "event_id", "measure", "alert"]).astype("Int64")
 
 
 def _stateful(events: DataFrame, ts: str, value, rule: Rule, keep_days: int | None, delay: str) -> DataFrame:
-    """Sets the session's state store to STATE_STORE, the one that has timers and lists."""
+    """Sets the session's state store to STATE_STORE, the one that has timers and lists.
+
+    Events without an account are an account of their own, told by a flag: a NULL in the key would mix with its neighbour.
+    """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     at = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    flat = at.select("account_id", ts, F.unix_micros(ts).alias("t"), F.col("event_id").cast("long").alias("event_id"),
+    account = F.col("account_id").cast("long")
+    flat = at.select(F.coalesce(account, F.lit(0).cast("long")).alias("account_id"), account.isNull().alias("none"), ts, F.unix_micros(ts).alias("t"), F.col("event_id").cast("long").alias("event_id"),
                      value.cast("long").alias("v"))
-    return flat.groupBy("account_id").transformWithStateInPandas(
+    return flat.groupBy("account_id", "none").transformWithStateInPandas(
         InEventOrder(rule, None if keep_days is None else keep_days * DAY),
         "account_id bigint, event_id bigint, measure bigint, alert bigint", "Append", "EventTime")
 

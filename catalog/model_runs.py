@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arrearium import fixed_values as fv
 from arrearium.operators import explain, features, models, segments
-from arrearium.plans import pipeline, scoring
+from arrearium.plans import batch, pipeline, scoring
 from arrearium.session import scratch_path
 from arrearium.sources import writers
 from catalog.registry import query, rounded
@@ -77,8 +77,8 @@ def linear_fit_single_feature(i):
 @query("grid_search_cv")
 def grid_search_cv(i):
     columns = fv.MODEL_NUMERIC
-    rows = models.modelling_table(i.stored_master).select(*columns, "label")
-    return models.grid_search_cv(rows, columns, "label")
+    rows = models.modelling_table(i.stored_master).select("loan_id", *columns, "label")
+    return models.grid_search_cv(rows, columns, "label", key="loan_id")
 
 
 @query("feature_importance")
@@ -148,6 +148,42 @@ def run_pipeline(i):
     return pipeline.run_pipeline(i.book, "loan_id", scratch_path(i.spark, "run")).metrics
 
 
+def _batch(i):
+    """The whole run on the raw tables, with the models that other queries look at too."""
+    key = (i.spark.sparkContext.applicationId, i.sf_dir, "batch")
+    if key not in _FITTED:
+        raw = {"customers": i.customers, "loans": i.loans, "repayments": i.repayments, "recovery_activities": i.recovery}
+        _FITTED[key] = batch.run_batch(raw, scratch_path(i.spark, "batch"), starts=3, fit=lambda train, name: _model(i, name))
+    return _FITTED[key]
+
+
+@query("batch_pipeline", ["master", "scores"], """
+SELECT (SELECT COUNT(*) FROM master) AS master_rows, (SELECT COUNT(*) FROM master WHERE overdue_days > 30) AS late_rows,
+  CAST(SUM(n - t) AS BIGINT) AS training_rows, CAST(SUM(t) AS BIGINT) AS test_rows, CAST(SUM(t) AS BIGINT) AS scored_rows, CAST(33 AS BIGINT) AS thresholds,
+  CAST(4 AS BIGINT) AS models
+FROM (SELECT label, COUNT(*) AS n, floor(0.2e0*COUNT(*) + 1e-9) AS t FROM scores GROUP BY label)""")
+def batch_pipeline(i):
+    """What the stored stages of a whole run hold."""
+    run = _batch(i)
+
+    def rows(artefact, **by):
+        df = run.table(artefact)
+        for c, v in by.items():
+            df = df.where(F.col(c) == v)
+        return df.agg(F.count("*").alias("n")).scalar()
+
+    return run.metadata().select(
+        rows("master").alias("master_rows"), rows("delinquent").alias("late_rows"), rows("split", is_test=0).alias("training_rows"),
+        rows("split", is_test=1).alias("test_rows"), rows("scores").alias("scored_rows"), rows("thresholds").alias("thresholds"),
+        F.size("benchmark_comparison").cast("long").alias("models"))
+
+
+@query("batch_metadata")
+def batch_metadata(i):
+    """The description of the run: sizes, scores of all models, threshold, features, drivers."""
+    return _batch(i).metadata()
+
+
 _SCORED_SQL = """
 SELECT {key}, round(p, 6) AS p, CASE WHEN p >= 0.5e0 THEN 1 ELSE 0 END AS recoverable_std,
   CASE WHEN p >= 0.175e0 THEN 1 ELSE 0 END AS recoverable_opt, round(least(greatest((1e0 - p)*100e0, 1e0), 99e0), 4) AS risk_pct,

@@ -93,7 +93,7 @@ def value_counts(i):
     return rounded(reports.value_counts(i.loans, "loan_type", share=True), 6)
 
 
-DESCRIBED = ["loan_amount", "interest_rate", "loan_term_months", "collateral_value"]
+DESCRIBED = ["loan_id", "customer_id", "loan_amount", "interest_rate", "loan_term_months", "collateral_value"]
 
 
 @query("describe_numeric", ["loans"], "\nUNION ALL\n".join(f"""
@@ -102,7 +102,8 @@ SELECT '{c}' AS "column", COUNT({c}) AS count, round(AVG({c}), 4) AS mean, round
   round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 4) AS q50, round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 4) AS q75,
   round(MAX(CAST({c} AS DOUBLE)), 4) AS max FROM loans""" for c in DESCRIBED))
 def describe_numeric(i):
-    return rounded(profile.describe_numeric(i.loans, DESCRIBED))
+    """Every numeric column of loans."""
+    return rounded(profile.describe_numeric(i.loans))
 
 
 TEXTS = ["gender", "region", "city_tier", "employment_status", "housing_status", "marital_status"]

@@ -17,7 +17,7 @@ from catalog.registry import Inputs
 def events():
     rnd = random.Random(11)
     start = dt.datetime(2024, 1, 1)
-    rows = [(k, 1 if k % 3 == 0 else rnd.randrange(2, 12), start + dt.timedelta(hours=rnd.randrange(0, 24 * 120)),
+    rows = [(k, 1 if k % 3 == 0 else None if k % 20 == 1 else rnd.randrange(0, 12), start + dt.timedelta(hours=rnd.randrange(0, 24 * 120)),
              rnd.randrange(500, 700), rnd.randrange(2)) for k in range(600)]
     return rows
 
@@ -39,8 +39,8 @@ def stream_of(spark, rows, folder, shuffle_within):
 def collect(spark, out, folder):
     out.writeStream.format("parquet").option("path", f"{folder}/out").option(
         "checkpointLocation", f"{folder}/cp").trigger(availableNow=True).start().awaitTermination()
-    rows = spark.read.parquet(f"{folder}/out").where("account_id < 1000000000").collect()
-    return {r["event_id"]: (r["measure"], r["alert"]) for r in rows}
+    rows = spark.read.parquet(f"{folder}/out").where("event_id < 1000000000").collect()
+    return {r["event_id"]: (r["account_id"], r["measure"], r["alert"]) for r in rows}
 
 
 def test_streams_equal_batch(spark, events, tmp_path):
@@ -57,7 +57,7 @@ def test_streams_equal_batch(spark, events, tmp_path):
     for name, form, want, measure, flag in cases:
         folder = f"{tmp_path}/{name}"
         got = collect(spark, form(stream_of(spark, events, folder, 48)), folder)
-        assert got == {r["event_id"]: (r[measure], r[flag]) for r in want.collect()}, name
+        assert got == {r["event_id"]: (r["account_id"], r[measure], r[flag]) for r in want.collect()}, name
 
 
 def test_state_falls_back_and_the_last_events_come(spark, tmp_path):
