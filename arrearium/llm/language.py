@@ -37,14 +37,17 @@ def code_book(languages: int, seed: int = 1) -> np.ndarray:
 def gram_buckets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(bucket of each n-gram, where each text begins): bytes of the lower-cased text, in runs of two, three and four.
 
-    Digits and ASCII punctuation count as blanks, so that mark-up and numbers say nothing.
+    Digits and ASCII punctuation count as blanks, so that mark-up and numbers say nothing. A run that reaches past its text's
+    end goes on with blanks, whatever text comes next.
     """
     raw = [("  " + t.lower() + "  ").encode("utf-8", "replace") if t else b"    " for t in texts]
-    joined = _BLANKED[np.frombuffer(b"".join(raw), dtype=np.uint8)].astype(np.uint32)
+    joined = _BLANKED[np.frombuffer(b"".join([*raw, b"   "]), dtype=np.uint8)].astype(np.uint32)
     starts = np.cumsum([0] + [len(r) for r in raw])[:-1]
     two = joined[:-3] << np.uint32(8) | joined[1:-2]
     three = two << np.uint32(8) | joined[2:-1]
     four = three << np.uint32(8) | joined[3:]
+    # Each text begins with two blanks, so only four bytes from a text's last one on could reach another's first letter.
+    four[starts[1:] - 1] = 0x20202020
     shift = np.uint32(32 - _BITS)
     grams = [(x * np.uint32(0x9E3779B1) + np.uint32(k * 0x85EBCA6B & 0xFFFFFFFF)) * np.uint32(0xC2B2AE35) >> shift
              for k, x in enumerate((two, three, four))]
@@ -80,7 +83,7 @@ class Model:
         grams, starts = gram_buckets(texts)
         margins = self.weights[grams[:, 0]] + self.weights[grams[:, 1]] + self.weights[grams[:, 2]]
         sums = np.add.reduceat(margins, np.minimum(starts, len(margins) - 1), axis=0)
-        lengths = np.diff(np.append(starts, len(grams) + 3))
+        lengths = np.diff(np.append(starts, len(grams)))
         margin = sums / lengths[:, None]
         # Logistic loss of each bit's margin against each codeword, weighted by the bit.
         loss = np.logaddexp(0.0, -margin[:, None, :] * self.codes[None]) @ self.bit_weight
