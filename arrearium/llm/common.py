@@ -80,9 +80,11 @@ def connected_components(edges: DataFrame, rounds: int | None = None) -> DataFra
     done = 0
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Minima are stored: joined to them, the edges of a hub are one skewed side of a plain join, which is split.
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stored(large, "large")
+        least = stored(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select("u", "v", "m")
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(
             F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")))).alias("p")).select("p.*").where("u <> v").distinct()
