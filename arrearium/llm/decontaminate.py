@@ -31,6 +31,7 @@ class Index:
     terms: DataFrame
     items: DataFrame
     windows: DataFrame
+    items_words: DataFrame
 
 
 def build_index(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text",
@@ -60,7 +61,7 @@ def build_index(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col:
     windows = stored(per_term.groupBy("win").agg(F.array_sort(F.collect_list(F.struct("freq", "term", "off"))).alias("t")), "windows")
     of_items = item_words.select("item", F.explode(F.sequence(F.lit(0), last)).alias("at"), "w").select(
         "item", F.xxhash64(F.slice("w", F.col("at") + 1, window)).alias("win")).distinct()
-    return Index(postings, terms, stored(of_items, "windows-of-items"), windows)
+    return Index(postings, terms, stored(of_items, "windows-of-items"), windows, item_words)
 
 
 def phrase_matches(index: Index) -> DataFrame:
@@ -100,10 +101,6 @@ def phrase_matches(index: Index) -> DataFrame:
 def proximity_matches(index: Index, terms: list[str], within: int) -> DataFrame:
     """Places where all terms (distinct words) lie within a span of that many words: row, start, end (inclusive).
 
-    One row is returned for each occurrence of the rarest term that is part of such a span: the narrowest span that holds
-    it, of equal ones the first. A span's left end is the rarest term's own place or a posting before it; given the left
-    end, each other list takes its first posting from there on. So each list, rarest first, is looked up around the
-    candidates (fewer than `within` places on either side), and those that lack a term drop out before the next list.
     The index holds no words but the benchmark's: any other term is an error, as the training texts may hold it.
     """
     if within < 1 or not terms:
@@ -112,15 +109,30 @@ def proximity_matches(index: Index, terms: list[str], within: int) -> DataFrame:
     unknown = sorted(set(terms) - {w["word"] for w in wanted})
     if unknown:
         raise ValueError(f"not indexed, as no benchmark item holds them: {unknown}")
-    base = index.postings.where(F.col("term") == wanted[0]["term"]).select(ROW, F.col("pos").alias("p"))
-    lists = []
-    for k, w in enumerate(wanted[1:]):
+    asked = index.terms.sparkSession.range(1).select(
+        F.lit(0).alias("query"), F.array(*[F.lit(w["term"]).cast("long") for w in wanted]).alias("terms"))
+    return proximity(index, asked, len(wanted), within).select(ROW, "start", "end")
+
+
+def proximity(index: Index, asked: DataFrame, number: int, within: int) -> DataFrame:
+    """query, row, start, end (inclusive): places where all terms of a query lie within a span of that many words.
+
+    asked: a stored table (query, terms: `number` different term ids, rarest first). One row is returned for each occurrence of
+    the rarest term that is part of such a span: the narrowest span that holds
+    it, of equal ones the first. A span's left end is the rarest term's own place or a posting before it; given the left
+    end, each other list takes its first posting from there on. So each list, rarest first, is looked up around the
+    candidates (fewer than `within` places on either side), and those that lack a term drop out before the next list.
+    """
+    def postings(k: int, place: str) -> DataFrame:
+        return index.postings.join(sent(asked.select("query", F.col("terms")[k].alias("term"))), "term").select("query", ROW, F.col("pos").alias(place))
+
+    base, lists = postings(0, "p"), []
+    for k in range(1, number):
         # A posting is near only if it lies in the same or a neighbouring stretch of `within` words.
-        other = index.postings.where(F.col("term") == w["term"]).select(ROW, F.col("pos").alias("q"), F.explode(
-            F.array(*[F.floor(F.col("pos") / within) + d for d in (-1, 0, 1)])).alias("_s"))
-        met = base.withColumn("_s", F.floor(F.col("p") / within)).join(other, [ROW, "_s"]).where(F.abs(F.col("p") - F.col("q")) < within)
+        other = postings(k, "q").select("query", ROW, "q", F.explode(F.array(*[F.floor(F.col("q") / within) + d for d in (-1, 0, 1)])).alias("_s"))
+        met = base.withColumn("_s", F.floor(F.col("p") / within)).join(other, ["query", ROW, "_s"]).where(F.abs(F.col("p") - F.col("q")) < within)
         # At most 2 * within - 1 places, as a place holds one word.
-        base = met.groupBy(ROW, "p", *lists).agg(F.array_sort(F.collect_set("q")).alias(f"q{k}"))
+        base = met.groupBy("query", ROW, "p", *lists).agg(F.array_sort(F.collect_set("q")).alias(f"q{k}"))
         lists.append(f"q{k}")
 
     def span(start: Column) -> Column:
@@ -134,7 +146,25 @@ def proximity_matches(index: Index, terms: list[str], within: int) -> DataFrame:
 
     starts = F.filter(F.concat(F.array("p"), *lists), lambda x: x <= F.col("p"))
     spans = F.filter(F.transform(starts, span), lambda s: s["end"].isNotNull() & (s["d"] < within))
-    return base.withColumn("_m", F.array_min(spans)).where("_m is not null").select(ROW, "_m.start", "_m.end")
+    return base.withColumn("_m", F.array_min(spans)).where("_m is not null").select("query", ROW, "p", "_m.start", "_m.end")
+
+
+def item_proximity(docs: DataFrame, benchmark: DataFrame, number: int = 3, within: int = 10, id_col: str = "doc_id", text_col: str = "text",
+                   item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """item_id, the document's id, place, start, end: where the `number` rarest words of an item lie within a span of `within` words.
+
+    A paraphrase or a shuffled copy of an item is found by it, where no window of the item occurs. A row for each occurrence
+    (place) of an item's rarest word in such a span, with the narrowest span. Words are ranked by how often they occur in docs, equal
+    ones by the word. Items of fewer different words are left out, null texts have none; rows that repeat an item give the same
+    places. An item with a word that no document holds has no place. Other columns are not read.
+    """
+    index = build_index(docs, benchmark, 1, id_col, text_col, item_col, item_text_col)
+    held = index.items_words.select("item", F.explode(F.array_distinct("w")).alias("word")).distinct().join(index.terms, "word")
+    ranked = held.groupBy("item").agg(F.array_sort(F.collect_set(F.struct("freq", "word", "term"))).alias("t"))  # an item's own words
+    ranked = ranked.where(F.size("t") >= number).select(F.col("item").alias("query"), F.transform(F.slice("t", 1, number), lambda t: t["term"]).alias("terms"))
+    found = proximity(index, stored(ranked, "asked"), number, within)
+    ids = index.postings.where("term = -1").select(ROW, "id")
+    return found.join(ids, ROW).select(F.col("query").alias(item_col), F.col("id").alias(id_col), F.col("p").alias("place"), "start", "end")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -47,6 +47,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop(ROW)
 
 
+def op5_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the three rarest words of a benchmark item stand within ten words of each other."""
+    return decontaminate.item_proximity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; three quarters of the labelled ones are learned from."""
     docs = table(spark, sf_dir, "documents")
@@ -118,7 +123,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op2_url_filter, op3_sharding, op4_minhash, op5_decontamination, op6_language_id, op7_secret_scan, op7_secret_verdicts,
+    op1_packing, op2_url_filter, op3_sharding, op4_minhash, op5_decontamination, op5_proximity, op6_language_id, op7_secret_scan, op7_secret_verdicts,
     op8_chat_format, op9_vector_dup, op10_quality, op11_phrases, op12_topk, op13_hard_negatives)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -225,6 +230,19 @@ m AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.sc
 SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id))::int AS rank,
   negative_id, positive_score, negative_score FROM m QUALIFY rank <= 5"""
 
+ORACLES["op5_proximity"] = rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+pos AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+b AS (SELECT DISTINCT item_id::varchar AS item_id, unnest({_WORDS}) AS word FROM benchmark),
+f AS (SELECT word, count(*) AS f FROM pos GROUP BY word),
+r AS (SELECT item_id, word, row_number() OVER (PARTITION BY item_id ORDER BY coalesce(f, 0), word) AS k FROM b LEFT JOIN f USING (word)),
+t AS (SELECT item_id, max(word) FILTER (k = 1) AS a, max(word) FILTER (k = 2) AS b, max(word) FILTER (k = 3) AS c FROM r GROUP BY item_id HAVING count(*) >= 3),
+s AS (SELECT item_id, x.doc_id, x.p AS place, least(x.p, y.p, z.p) AS s, greatest(x.p, y.p, z.p) AS e
+  FROM t JOIN pos x ON x.word = t.a JOIN pos y ON y.word = t.b AND y.doc_id = x.doc_id AND abs(y.p - x.p) < 10
+  JOIN pos z ON z.word = t.c AND z.doc_id = x.doc_id AND abs(z.p - x.p) < 10 AND abs(z.p - y.p) < 10)
+SELECT item_id, doc_id, place::int AS place, s::int AS "start", e::int AS "end" FROM s
+QUALIFY row_number() OVER (PARTITION BY item_id, doc_id, place ORDER BY e - s, s) = 1"""
+
 # The same spans and counts as in the statement above it; owners alone decide.
 ORACLES["op7_secret_verdicts"] = ORACLES["op7_secret_scan"].split("fin AS (")[0].rstrip().rstrip(",") + """
 SELECT doc_id, kind, s::bigint AS "start", (s + length(b.m))::bigint AS "end", CASE WHEN o = 1 THEN 'live' ELSE 'example' END AS verdict,
