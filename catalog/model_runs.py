@@ -119,18 +119,26 @@ def _stored_model(i):
     return writers.load_model(i.spark, path)
 
 
-@query("save_model")
+def _difference(i, rows):
+    """How far a model's score of each row moves by a round trip through storage, and whether it is a probability."""
+    again = models.predict(_stored_model(i), rows).select("loan_id", F.col("p").alias("p_loaded"))
+    both = models.predict(_model(i, "logistic"), rows).select("loan_id", "p").join(again, "loan_id")
+    return both.select("loan_id", (F.col("p") - F.col("p_loaded")).alias("difference"), F.col("p").between(0, 1).alias("is_probability"))
+
+
+@query("save_model", ["scores"], """
+SELECT loan_id, 0e0 AS difference, TRUE AS is_probability FROM (
+  SELECT loan_id, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(loan_id AS VARCHAR)), loan_id) AS rn,
+    COUNT(*) OVER (PARTITION BY label) AS n FROM scores) WHERE rn <= floor(0.2e0*n + 1e-9)""")
 def save_model(i):
-    """Scores of a model before and after a round trip through storage."""
-    test = _split(i)[1]
-    again = models.predict(_stored_model(i), test).select("loan_id", F.col("p").alias("p_loaded"))
-    return models.predict(_model(i, "logistic"), test).select("loan_id", "p").join(again, "loan_id")
+    """The test rows' scores before and after a model was stored: no difference."""
+    return _difference(i, _split(i)[1])
 
 
-@query("load_model")
+@query("load_model", ["delinquent"], "SELECT loan_id, 0e0 AS difference, TRUE AS is_probability FROM delinquent")
 def load_model(i):
-    """Every delinquent account scored by a model read from storage."""
-    return models.predict(_stored_model(i), models.modelling_table(i.stored_master)).select("loan_id", "p")
+    """Every delinquent account scored by a model read from storage, next to the model as it was fitted."""
+    return _difference(i, models.modelling_table(i.stored_master))
 
 
 @query("write_run_metadata")
