@@ -102,6 +102,31 @@ def as_events(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str
                                 F.col(role_col).alias("role"), F.col(text_col).alias("text"))
 
 
+def as_log(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """Conversation rows as a log that folds back to them: by hash, a message is said at once, streamed, drafted and edited, or
+    streamed, regenerated and streamed again; every message that is said at once was said before and deleted."""
+    text = F.coalesce("text", F.lit(""))
+    cuts = F.lit(1), (F.length(text) / 3).cast("int") + 1, (F.length(text) / 2).cast("int") + 1, F.length(text) + 1
+    parts = [F.substring(text, lo, hi - lo) for lo, hi in zip(cuts, cuts[1:])]
+    none = F.lit(None).cast("string")
+
+    def told(*events: tuple[str, Column]) -> Column:
+        """The role comes with the first event only."""
+        return F.array(*[F.struct(F.lit(k).cast("long").alias("seq"), F.lit(op).alias("op"), (F.col("role") if k == 0 else none).alias("role"), t.alias("text"))
+                         for k, (op, t) in enumerate(events)])
+
+    streamed = [("delta", p) for p in parts]
+    way = F.pmod(F.xxhash64("conv", "message.turn"), F.lit(4))
+    log = (F.when(way == 0, told(("start", text))).when(way == 1, told(("start", F.lit("")), *streamed))
+           .when(way == 2, told(("start", F.reverse(text)), ("delta", F.lit(" draft")), ("edit", text)))
+           .otherwise(told(("start", F.lit("draft ")), streamed[2], ("regenerate", parts[0]), *streamed[1:])))
+    rows = as_events(conversations, conv_col, turn_col, role_col, text_col)
+    withdrawn = rows.where(way == 0).withColumn("message", F.struct(  # a message of its own
+        "message.turn", "message.role", "message.text", (-1 - F.col("message.nr")).alias("nr")))
+    withdrawn = withdrawn.select("conv", "message", F.explode(told(("start", text), ("delete", none))).alias("e"))
+    return rows.select("conv", "message", F.explode(log).alias("e")).unionByName(withdrawn).select("conv", "message", "e.*")
+
+
 def format_conversations(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                          text_col: str = "text") -> DataFrame:
     """conv, formatted, mask, turns and loss of every conversation of a table with a row for each turn.

@@ -85,7 +85,16 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     two = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise(
         "assistant").alias("role"), F.lit(text).alias("text"))
-    done = chat.format_conversations(rows.unionByName(two))
+    return _formatted(chat.format_conversations(rows.unionByName(two)))
+
+
+def op8_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation told as a log of deltas, edits, regenerations and deletions, folded, formatted and read back."""
+    log = chat.as_log(table(spark, sf_dir, "conversations"))
+    return _formatted(chat.read_back(chat.render(chat.fold(log))))
+
+
+def _formatted(done: DataFrame) -> DataFrame:
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("loss", "")
     return done.select(F.col("conv").alias("conv_id"), F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
@@ -124,7 +133,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_url_filter, op3_sharding, op4_minhash, op5_decontamination, op5_proximity, op6_language_id, op7_secret_scan, op7_secret_verdicts,
-    op8_chat_format, op9_vector_dup, op10_quality, op11_phrases, op12_topk, op13_hard_negatives)}
+    op8_chat_format, op8_event_log, op9_vector_dup, op10_quality, op11_phrases, op12_topk, op13_hard_negatives)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"list_filter(string_split_regex({_LOWER}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
@@ -195,6 +204,10 @@ FROM v JOIN comp ON comp.a = vec_id LEFT JOIN n ON n.a = vec_id""",
 _FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 _WHOLE = "list_transform(embedding, lambda x: floor(256 * x::double))"
 
+# The log folds back to the conversations.
+ORACLES["op8_event_log"] = ORACLES["op8_chat_format"].replace(
+    "UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'", "")
+
 ORACLES["op11_phrases"] = r"""
 WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
