@@ -197,7 +197,7 @@ def test_no_task_orders_more_than_a_constant(spark, kind, monkeypatch):
     most = []
     gather = 500
     deeper = stats._deeper
-    for n in (2_000, 20_000, 200_000):
+    for n in (1_000, 10_000, 60_000):
         rng = np.random.default_rng(n)
         x = {"random": lambda: rng.integers(0, 1_000_000, n).astype(float), "sorted": lambda: np.arange(n) * 1.5, "constant": lambda: np.full(n, 7.25),
              "continuous": lambda: rng.normal(1e6, 1e-3, n), "signs": lambda: rng.normal(0, 1e3, n)}[kind]()
@@ -213,7 +213,7 @@ def test_no_task_orders_more_than_a_constant(spark, kind, monkeypatch):
     assert max(most) <= gather
 
 
-@pytest.mark.parametrize("gather", [1, 10, 400])
+@pytest.mark.parametrize("gather", [10, 400])
 def test_running_totals_in_leaves(spark, gather):
     rng = np.random.default_rng(9)
     x = np.unique(np.concatenate([rng.normal(0, 1, 2_000), rng.uniform(5, 5 + 1e-9, 500), [-1e300, 1e300, 0.0]]))
@@ -234,12 +234,12 @@ def _plain_windows(df, days):
     return {"n": df.withColumn("n", F.count("*").over(w)), "m": df.withColumn("m", F.max("score").over(w)), "p": df.withColumn("p", lag)}
 
 
-@pytest.mark.parametrize("gather", [5, 300, 1_000_000])
+@pytest.mark.parametrize("gather", [30, 1_000_000])
 def test_an_account_with_a_third_of_all_events_in_one_day(spark, gather):
     """Hot accounts, moments and missing times and accounts: the same rows as plain windows, whether the scan is taken or not."""
     rnd = random.Random(5)
     start, rows = dt.datetime(2024, 3, 1), []
-    for k in range(3_000):
+    for k in range(1_800):
         account = 1 if k % 3 == 0 else None if k % 50 == 1 else rnd.randrange(2, 30)
         at = start + (dt.timedelta(seconds=rnd.randrange(86_400)) if account == 1 else dt.timedelta(hours=rnd.randrange(24 * 200)))
         if k % 30 == 0:
