@@ -40,6 +40,11 @@ def bounded_side(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(held) if small else held
 
 
+def counted_side(side: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """bounded_side for what a narrow plan over a stored table gives: counted in place, not computed into another one."""
+    return F.broadcast(side) if side.limit(max_rows + 1).count() <= max_rows else side
+
+
 def one_row(stats: DataFrame) -> Column:
     """Use a one-row aggregate as a struct-valued scalar subquery: no join, no driver round trip."""
     return stats.select(F.struct(*[F.col(f"`{c}`") for c in stats.columns])).scalar()
@@ -138,7 +143,7 @@ def _deeper(rows: DataFrame, bins: DataFrame, keys: Sequence[str]) -> DataFrame:
     span = F.col("hi").cast("double") - F.col("lo").cast("double")
     shift = F.greatest(F.lit(0), F.ceil(F.log2(span + 1)) - BITS).cast("int")
     side = bins.select(*keys, "_node", "_bin", F.col("lo").alias("_lo"), shift.alias("_shift")).distinct()
-    return rows.join(bounded_side(side), [*keys, "_node", "_bin"]).withColumns(
+    return rows.join(counted_side(side), [*keys, "_node", "_bin"]).withColumns(
         {"_node": F.col("_lo"), "_bin": F.expr(  # halves first, as the whole span may pass 63 bits
             "CASE WHEN _shift = 0 THEN _at - _lo ELSE shiftright(shiftright(_at, 1) - shiftright(_lo, 1), _shift - 1) END")}).drop("_lo", "_shift")
 
@@ -208,7 +213,7 @@ def leaves(rows: DataFrame, keys: Sequence[str], before: Mapping[str, tuple[Colu
     whole = {"_leaf": zero, "_single": F.lit(False), **nothing}
     if crowded.isEmpty():
         return todo.withColumns(whole).drop("_node", "_bin")
-    kept = todo.withColumns(whole).drop("_single").join(bounded_side(crowded.select(*at, (F.col("lo") == F.col("hi")).alias("_single"))), at, "left")
+    kept = todo.withColumns(whole).drop("_single").join(counted_side(crowded.select(*at, (F.col("lo") == F.col("hi")).alias("_single"))), at, "left")
     done = [kept.where("_single is null or _single").withColumn("_single", F.coalesce("_single", F.lit(False)))]
     held = large.select(*keys, F.col("lo").alias("_node")).withColumns(nothing)
     first = F.col("_bin").desc() if descending else F.col("_bin").asc()
@@ -220,7 +225,7 @@ def leaves(rows: DataFrame, keys: Sequence[str], before: Mapping[str, tuple[Colu
                                         for name, (_, how) in before.items()}), "bins")
         open_ = (F.col("n") > gather) & (F.col("lo") < F.col("hi"))
         small = bins.where(~open_).select(*at, F.col("lo").alias("_leaf"), (F.col("lo") == F.col("hi")).alias("_single"), *nothing)
-        done.append(todo.join(bounded_side(small), at))
+        done.append(todo.join(counted_side(small), at))
         large = bins.where(open_)
         held = large.select(*keys, F.col("lo").alias("_node"), *nothing)
     out = done[0]
