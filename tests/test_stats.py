@@ -269,3 +269,27 @@ def test_hot_accounts_are_spread(spark):
         for r in (r for r in sizes if r["_k"] == k):
             assert (r["before"] or 0) == at
             at += r["n"]
+
+
+def test_shuffle_partitions_grow_with_the_input(spark, tmp_path, monkeypatch):
+    from arrearium import session
+
+    first, merged = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    monkeypatch.setattr(session, "INPUT_PER_PARTITION", 20_000)
+    before = spark.conf.get(first, None), spark.conf.get(merged, None)
+    seen = []
+    try:
+        for n in (100, 200_000):
+            path = f"{tmp_path}/{n}"
+            spark.range(n).selectExpr("id", "rand(1) AS x").write.parquet(path)
+            session.size_shuffles(spark, [path, f"{tmp_path}/absent"])
+            seen.append(int(spark.conf.get(first)))
+            assert int(spark.conf.get(merged)) == session.MERGED_PARTITION
+            rows = spark.read.parquet(path).groupBy("id").count()
+            rows.collect()
+            assert f"hashpartitioning(id#{rows._jdf.queryExecution().executedPlan().toString().split('hashpartitioning(id#')[1].split(',')[0]}, {seen[-1]})" in (
+                rows._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for key, value in zip((first, merged), before):
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert seen[0] == int(spark.conf.get("spark.sql.shuffle.partitions")) and seen[1] > 50
