@@ -169,3 +169,29 @@ def test_whole_pipeline(spark, sf_dir, tmp_path):
     meta = spark.read.json(f"{tmp_path}/metadata").first()
     assert meta["features"]["numeric"] == result.features and meta["metrics_optimal_threshold"]["recall"] >= 0.8
     assert spark.read.option("header", True).csv(f"{tmp_path}/sample").count() == min(5000, book.count())
+
+
+def test_the_benchmark_trains_its_models_at_the_same_time(spark, sf_dir, monkeypatch):
+    from threading import Barrier
+
+    from catalog import model_runs
+
+    together, i = Barrier(len(models.CLASSIFIERS), timeout=30), Inputs(spark, sf_dir)
+    monkeypatch.setattr(model_runs, "_FITTED", {})
+    monkeypatch.setattr(model_runs, "_split", lambda i: ("train", "test"))
+    monkeypatch.setattr(models, "train_classifier", lambda train, name: (together.wait(), f"{name} of {train}")[1])
+    monkeypatch.setattr(models, "benchmark_models", lambda train, test, fitted: fitted)
+    assert model_runs.benchmark_models(i) == {n: f"{n} of train" for n in models.CLASSIFIERS}
+    assert model_runs._models(i, "other") == {n: f"{n} of train" for n in models.CLASSIFIERS}  # fitted once
+
+
+def test_the_split_is_found_once(spark, sf_dir, monkeypatch):
+    from catalog import model_runs
+
+    calls, find = [], features.stratified_split
+    monkeypatch.setattr(model_runs, "_FITTED", {})
+    monkeypatch.setattr(features, "stratified_split", lambda *a: (calls.append(a), find(*a))[1])
+    i = Inputs(spark, sf_dir)
+    train, test = model_runs._split(i)
+    again = model_runs._split(i)
+    assert len(calls) == 1 and (again[0].count(), again[1].count()) == (train.count(), test.count())
