@@ -293,3 +293,19 @@ def test_shuffle_partitions_grow_with_the_input(spark, tmp_path, monkeypatch):
         for key, value in zip((first, merged), before):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     assert seen[0] == int(spark.conf.get("spark.sql.shuffle.partitions")) and seen[1] > 50
+
+
+def test_merged_partitions_stay_small_enough_to_sort(spark, tmp_path, monkeypatch):
+    from arrearium import session
+
+    keys = "spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = [spark.conf.get(key, None) for key in keys]
+    try:
+        session.size_shuffles(spark, [f"{tmp_path}/absent"])
+        spark.conf.set(keys[0], 200)
+        rows = spark.range(16_000_000).select(F.xxhash64("id").alias("x")).repartition("x")  # 128 MB that do not compress
+        n = rows.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for key, value in zip(keys, before):
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert len(n) >= 15 and max(r["count"] for r in n) <= 1_200_000  # 2 million and more before
