@@ -195,3 +195,18 @@ def test_the_split_is_found_once(spark, sf_dir, monkeypatch):
     train, test = model_runs._split(i)
     again = model_runs._split(i)
     assert len(calls) == 1 and (again[0].count(), again[1].count()) == (train.count(), test.count())
+
+
+def test_forests_keep_the_nodes_of_rows_and_stay_the_same(split):
+    forest = models.classifier("random_forest", 1, 1)
+    assert forest.getCacheNodeIds() and forest.getNumTrees() == 200
+    kept = [fit(split[0], RandomForestClassifier(numTrees=6, maxDepth=5, seed=3, labelCol="label", weightCol="weight", cacheNodeIds=c)) for c in (True, False)]
+    assert len({"\n".join(m.stages[-1].toDebugString.split("\n")[1:]) for m in kept}) == 1
+
+
+def test_the_grid_search_keeps_the_nodes_of_rows(table, monkeypatch):
+    seen, validator = [], models.CrossValidator
+    monkeypatch.setattr(models, "CrossValidator", lambda **of: (seen.append(of["estimator"].getCacheNodeIds()), validator(**of))[1])
+    rows = table.select("loan_id", "credit_score", "overdue_days", "label")
+    models.grid_search_cv(rows, ["credit_score", "overdue_days"], "label", trees=(2,), depths=(2,), folds=2, key="loan_id")
+    assert seen == [True]
