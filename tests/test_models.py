@@ -210,3 +210,39 @@ def test_the_grid_search_keeps_the_nodes_of_rows(table, monkeypatch):
     rows = table.select("loan_id", "credit_score", "overdue_days", "label")
     models.grid_search_cv(rows, ["credit_score", "overdue_days"], "label", trees=(2,), depths=(2,), folds=2, key="loan_id")
     assert seen == [True]
+
+
+def test_training_rows_are_dealt_evenly_over_the_slots(spark, split, monkeypatch):
+    slots, seen = spark.sparkContext.defaultParallelism, []
+
+    class Forest(RandomForestClassifier):
+        def fit(self, rows):
+            seen.append([r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()])
+            return super().fit(rows)
+
+    forest = Forest(numTrees=2, maxDepth=2, seed=1, labelCol="label")
+    uneven = split[0].repartition(3 * slots + 1).persist()
+    n = uneven.count()
+    fit(uneven, forest)  # a small table stays as it is
+    monkeypatch.setattr(models, "LEAST_BALANCED", 10)
+    fit(uneven, forest)
+    monkeypatch.setattr(models, "MOST_ROWS", n // slots)
+    fit(uneven, forest)
+    parts = [slots, slots if n % slots == 0 else 2 * slots]
+    assert len(seen[0]) == 3 * slots + 1 and [len(s) for s in seen[1:]] == parts
+    assert all(sum(s) == n for s in seen) and all(max(s) - min(s) <= slots for s in seen[1:])
+
+
+def test_the_grid_search_deals_its_rows_evenly(spark, table, monkeypatch):
+    seen, validator = [], models.CrossValidator
+
+    class Watched(validator):
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+            return super().fit(rows)
+
+    monkeypatch.setattr(models, "LEAST_BALANCED", 10)
+    monkeypatch.setattr(models, "CrossValidator", Watched)
+    rows = table.select("loan_id", "credit_score", "overdue_days", "label").repartition(17)
+    models.grid_search_cv(rows, ["credit_score", "overdue_days"], "label", trees=(2,), depths=(2,), folds=2, key="loan_id")
+    assert seen == [spark.sparkContext.defaultParallelism]
