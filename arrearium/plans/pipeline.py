@@ -44,7 +44,7 @@ def run_pipeline(df: DataFrame, key: str, folder: str | None = None, test_pct: i
     """Standardise, de-duplicate, fill gaps, split, train a forest, measure, and store if asked.
 
     The prepared table feeds the statistics, the training and the scoring, so it is stored once in
-    the shared folder instead of being derived three times.
+    the shared folder instead of being derived three times; so are the scores, which several measures read.
     """
     table = stored(clean.drop_duplicates(standardize_dataset(df, key, now=True)), "prepared")
     skip = {*fv.NON_FEATURE_COLUMNS, *fv.TARGET_COLUMNS, "recovery_target_binary", key}
@@ -54,7 +54,7 @@ def run_pipeline(df: DataFrame, key: str, folder: str | None = None, test_pct: i
     train, test = split.where("is_test = 0"), split.where("is_test = 1")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, labelCol="label", featuresCol="features")
     model = train_classifier(train, "forest", numeric=columns, categorical=[], estimator=forest)
-    scores = predict(model, test).select(key, "label", "p")
+    scores = stored(predict(model, test).select(key, "label", "p"), "scores")
     metrics = score_report(scores)
     if folder:
         writers.save_model(model, f"{folder}/model")

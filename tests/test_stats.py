@@ -309,3 +309,24 @@ def test_merged_partitions_stay_small_enough_to_sort(spark, tmp_path, monkeypatc
         for key, value in zip(keys, before):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     assert len(n) >= 15 and max(r["count"] for r in n) <= 1_200_000  # 2 million and more before
+
+
+def test_the_sortable_image_is_computed_once(spark):
+    """The expression is not copied into filters and columns made of it: one in the plan, below what uses it."""
+    df = spark.range(10).select(stats.sortable(F.col("id").cast("double")).alias("_at"))
+    used = df.select("_at", (F.col("_at") + 1).alias("a"), F.shiftright("_at", 48).alias("b")).where("b > 3 and a is not null")
+    optimized = used._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("doubleToLongBits") == 1
+    rows = spark.createDataFrame([(None,), (-0.0,), (1.0,), (-1.0,)], "v double").select(stats.sortable(F.col("v"))).collect()
+    assert [r[0] for r in rows] == [None, 0, 0x3FF << 52, -(0x3FF << 52)]
+
+
+def test_the_scores_of_the_pipeline_are_stored(spark, sf_dir, monkeypatch):
+    from arrearium.plans import pipeline
+    from catalog.registry import Inputs
+
+    names, store = [], pipeline.stored
+    monkeypatch.setattr(pipeline, "stored", lambda df, name: (names.append(name), store(df, name))[1])
+    book = Inputs(spark, sf_dir).book.select("loan_id", "credit_score", "overdue_days", "loan_amount")
+    result = pipeline.run_pipeline(book, "loan_id", trees=2, depth=2)
+    assert names == ["prepared", "scores"] and result.scores.count() == result.metrics.first()["n"]
